@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 from crmlake.functions.text import not_blank
@@ -23,26 +25,24 @@ def first_contact(associations: Column) -> Column:
     return object_id(F.try_element_at(results, F.lit(1)).getField("id"))
 
 
-def _source_of(type_name: Column, entry: Column) -> Column:
-    first = F.try_element_at(entry.getField("results"), F.lit(1)).getField("id")
-    # only an id that is not in the payload at all lets the search go on
-    return F.when(first.isNotNull(), F.struct(type_name.alias("type"), object_id(first).alias("id")))
-
-
-def source_object(associations: Column) -> Column:
-    """Struct(type, id) of the object an activity belongs to.
+def source_object() -> Column:
+    """Struct(type, id) of the object an activity belongs to, from the column ``associations``.
 
     Contacts, deals, tickets and companies are tried in that order, then any other type in the
-    order of the payload.
+    order of the payload. Only an id that is not in the payload at all lets the search go on.
     """
-    preferred = [
-        _source_of(F.lit(name), F.try_element_at(associations, F.lit(name)))
-        for name in ("contacts", "deals", "tickets", "companies")
-    ]
-    others = F.filter(
-        F.transform(F.map_entries(associations), lambda e: _source_of(e["key"], e["value"])),
-        lambda s: s.isNotNull())
-    return F.coalesce(*preferred, F.try_element_at(others, F.lit(1)))
+    as_id = ("CASE WHEN schema_of_variant({0}) IN ('STRING', 'BIGINT') "
+             "THEN try_variant_get({0}, '$', 'string') END")
+
+    def source(kind: str, entry: str) -> str:
+        first = f"try_element_at({entry}.results, 1).id"
+        return (f"CASE WHEN {first} IS NOT NULL THEN "
+                f"named_struct('type', {kind}, 'id', {as_id.format(first)}) END")
+
+    preferred = ", ".join(source(f"'{name}'", f"try_element_at(associations, '{name}')")
+                          for name in ("contacts", "deals", "tickets", "companies"))
+    others = f"array_compact(transform(map_entries(associations), e -> {source('e.key', 'e.value')}))"
+    return F.expr(f"coalesce({preferred}, try_element_at({others}, 1))")
 
 
 def all_labels(types: Column) -> Column:
@@ -61,9 +61,8 @@ def _type_number(t: Column) -> Column:
 
 def last_type(types: Column) -> Column:
     """Struct(type_id, category): the last one given over the types of an association."""
-    numbers = F.filter(F.transform(types, _type_number), lambda x: x.isNotNull())
-    categories = F.filter(F.transform(types, lambda t: as_text(t["category"])),
-                          lambda x: x.isNotNull())
+    numbers = F.array_compact(F.transform(types, _type_number))
+    categories = F.array_compact(F.transform(types, lambda t: as_text(t["category"])))
     return F.struct(_last(numbers).alias("type_id"), _last(categories).alias("category"))
 
 
@@ -73,36 +72,43 @@ def _until_labelled(types: Column) -> Column:
     return F.when(at > 0, F.slice(types, F.lit(1), at.cast("int"))).otherwise(types)
 
 
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), then), 0)
+
+
 def first_labelled_type(types: Column) -> Column:
     """Struct(label, type_id, category) as they stand at the first labelled type."""
-    seen = _until_labelled(types)
 
     def number(t: Column) -> Column:
         # the second name counts only where the first is absent
-        return F.when(t["associationTypeId"].isNotNull(), whole_number(t["associationTypeId"])
-                      ).otherwise(whole_number(t["typeId"]))
+        return whole_number(F.coalesce(t["associationTypeId"], t["typeId"]))
 
-    def last_of(read) -> Column:
-        return _last(F.filter(F.transform(seen, read), lambda x: x.isNotNull()))
+    def at(seen: Column) -> Column:
+        def last_of(read) -> Column:
+            return _last(F.array_compact(F.transform(seen, read)))
 
-    return F.struct(
-        last_of(lambda t: as_text(t["label"])).alias("label"),
-        last_of(number).alias("type_id"),
-        last_of(lambda t: as_text(t["category"])).alias("category"))
+        return F.struct(
+            last_of(lambda t: as_text(t["label"])).alias("label"), last_of(number).alias("type_id"),
+            last_of(lambda t: as_text(t["category"])).alias("category"))
+
+    return _let(_until_labelled(types), at)
 
 
 def _first_labelled_plain(types: Column) -> Column:
     """As :func:`first_labelled_type` for the older ``types`` array, where null also replaces."""
-    seen = _until_labelled(types)
 
-    def last_given(name: str) -> Column:
-        return as_text(_last(F.filter(F.transform(seen, lambda t: t[name]),
-                                      lambda x: x.isNotNull())))
+    def at(seen: Column) -> Column:
+        def last_given(name: str) -> Column:
+            return as_text(_last(F.filter(F.transform(seen, lambda t: t[name]),
+                                          lambda x: x.isNotNull())))
+
+        numbers = F.transform(seen, lambda t: whole_number(t["associationTypeId"]))
+        return F.struct(last_given("label").alias("label"),
+                        _last(F.array_compact(numbers)).alias("type_id"),
+                        last_given("category").alias("category"))
 
-    numbers = F.filter(F.transform(seen, lambda t: whole_number(t["associationTypeId"])),
-                       lambda x: x.isNotNull())
-    return F.struct(last_given("label").alias("label"), _last(numbers).alias("type_id"),
-                    last_given("category").alias("category"))
+    return _let(_until_labelled(types), at)
 
 
 def edge_type(result: Column) -> Column:

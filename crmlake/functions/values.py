@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
-from crmlake.functions.text import col, not_empty, strip_html
+from crmlake.functions.text import col, strip_html
 from crmlake.model.objects import From
 
 
@@ -78,34 +78,32 @@ def prop(value: Column, kind: str) -> Column:
     raise ValueError(f"unknown property kind: {kind}")
 
 
-def read(source: From, values: dict[str, Column]) -> Column:
-    """The column a :class:`From` describes, over the variant columns in ``values``."""
-    texts = [as_text(values[n]) for n in source.names]
+def read(source: From, texts: dict[str, Column]) -> Column:
+    """The column a :class:`From` describes, over the property texts."""
+    found = [texts[n] for n in source.names]
     if source.kind == "stamp":
-        return F.coalesce(*[to_stamp(t) for t in texts])
+        return F.coalesce(*[to_stamp(t) for t in found])
     if source.kind == "filled":
-        return F.coalesce(*[F.nullif(t, F.lit("")) for t in texts])
-    first = F.coalesce(*texts)
+        return F.coalesce(*[F.nullif(t, F.lit("")) for t in found])
+    first = F.coalesce(*found)
     if source.kind == "body":
         return strip_html(first)
     return to_money(first) if source.kind == "money" else first
 
 
-def wrong_type(value: Column) -> Column:
-    """The property is there but is neither a string nor null."""
-    return F.coalesce(~_kind(value).isin("STRING", "VOID"), F.lit(False))
-
+def misfit(source: From) -> str:
+    """SQL test over ``properties`` and ``misfits``: a property of the wrong type is met before the
+    fallback chain has found its value.
+    """
+    unusable = {"stamp": "try_to_timestamp({0}) IS NULL", "filled": "coalesce({0}, '') = ''"}.get(
+        source.kind, "{0} IS NULL")
 
-def misfit(source: From, values: dict[str, Column]) -> Column:
-    """A property of the wrong type is met before the fallback chain has found its value."""
+    def wrong(name: str) -> str:
+        return f"array_contains(misfits, '{name}')"
 
-    def unusable(value: Column) -> Column:
-        if source.kind == "stamp":
-            return to_stamp(as_text(value)).isNull()
-        if source.kind == "filled":
-            return ~not_empty(as_text(value))
-        return ~present(value)
+    def still_open(name: str) -> str:
+        return unusable.format(f"properties.`{name}`")
 
-    *rest, last = [values[n] for n in source.names]
-    return reduce(lambda later, value: wrong_type(value) | (unusable(value) & later),
-                  reversed(rest), wrong_type(last))
+    *rest, last = source.names
+    return reduce(lambda later, name: f"({wrong(name)} OR ({still_open(name)} AND {later}))",
+                  reversed(rest), wrong(last))

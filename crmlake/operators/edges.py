@@ -108,16 +108,17 @@ def embedded_edges(objects: DataFrame, target: str = "companies") -> DataFrame:
 def edge_array(associations: Column) -> Column:
     """All edges in one payload as an array, for loads that keep them beside their activity."""
 
-    def edges_of(entry: Column) -> Column:
+    def of_type(entry: Column) -> Column:
         return F.transform(entry["value"]["results"], lambda r, i: F.struct(
-            singular(entry["key"]).alias("associated_object_type"),
-            object_id(r["id"]).alias("associated_object_id"),
-            edge_type(r)["label"].alias("association_label"),
-            edge_type(r)["type_id"].alias("association_type_id"),
-            edge_type(r)["category"].alias("association_category"), i.alias("pos")))
+            entry["key"].alias("type"), object_id(r["id"]).alias("id"),
+            edge_type(r).alias("kind"), i.alias("pos")))
 
     groups = F.filter(F.map_entries(associations), lambda e: e["value"]["results"].isNotNull())
-    return F.flatten(F.transform(groups, edges_of))
+    return F.transform(F.flatten(F.transform(groups, of_type)), lambda e: F.struct(
+        singular(e["type"]).alias("associated_object_type"),
+        e["id"].alias("associated_object_id"), e["kind"]["label"].alias("association_label"),
+        e["kind"]["type_id"].alias("association_type_id"),
+        e["kind"]["category"].alias("association_category"), e["pos"].alias("pos")))
 
 
 def activity_edges(records: DataFrame) -> DataFrame:

@@ -11,8 +11,8 @@ def add_column_if_missing(df: DataFrame, name: str, kind: str) -> DataFrame:
 
 def swap_columns(df: DataFrame, a: str, b: str) -> DataFrame:
     """Exchange the contents of two columns: their names are exchanged, no data moves."""
-    order = df.columns
-    return df.withColumnsRenamed({a: b, b: a}).select(*order)
+    other = {a: b, b: a}
+    return df.select(*[F.col(other.get(c, c)).alias(c) for c in df.columns])
 
 
 def delete(df: DataFrame, keys: DataFrame, on) -> DataFrame:

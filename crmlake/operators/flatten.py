@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from crmlake.functions import status as rules
 from crmlake.functions.associations import first_contact, source_object
 from crmlake.functions.text import full_name, not_empty
-from crmlake.functions.values import as_text, misfit, read, to_stamp, wrong_type
+from crmlake.functions.values import misfit, read, to_stamp
 from crmlake.model.objects import (
     ACTIVITIES, ACTIVITY_SOURCES, ACTIVITY_TYPES, DETAILS, OBJECTS, STATUS_PROPERTIES, From,
     read_properties)
@@ -21,39 +21,39 @@ from crmlake.sources.landed import raw_properties
 _WITH_CONTACT = ("communications", "emails")
 
 
-def _values(object_type: str) -> dict[str, Column]:
+def _texts(object_type: str) -> dict[str, Column]:
     return {name: F.col(f"properties.`{name}`") for name in read_properties(object_type)}
 
 
-def reject_reason(specs: list[dict[str, From]], object_type: str, also: tuple = ()) -> Column:
+def reject_reason(specs: list[dict[str, From]], also: tuple = ()) -> Column:
     """Why a row cannot be used, or null. Checks id, properties and the type of each property."""
-    values = _values(object_type)
-    checks = [F.when(~not_empty("id"), "missing id"),
-              F.when(F.col("properties").isNull(), "missing properties")]
     sources = {source for spec in specs for source in spec.values()}
-    for source in sorted(sources, key=lambda s: (s.names, s.kind)):
-        checks.append(F.when(misfit(source, values), "wrong type: " + ", ".join(source.names)))
-    for name in (*also, "hs_object_id"):
-        checks.append(F.when(wrong_type(values[name]), f"wrong type: {name}"))
-    return F.coalesce(*checks)
+    checks = [f"WHEN {misfit(source)} THEN 'wrong type: {', '.join(source.names)}'"
+              for source in sorted(sources, key=lambda s: (s.names, s.kind))]
+    checks += [f"WHEN array_contains(misfits, '{name}') THEN 'wrong type: {name}'"
+               for name in (*also, "hs_object_id")]
+    # rows without any misfit, nearly all, skip the checks
+    return (F.when(~not_empty("id"), "missing id")
+            .when(F.col("properties").isNull(), "missing properties")
+            .when(F.size("misfits") > 0, F.expr(f"CASE {' '.join(checks)} END")))
 
 
 def flatten_all(df: DataFrame, object_type: str) -> DataFrame:
     """Every object as a typed row plus ``reject_reason``, ``raw`` and ``seq``."""
     spec = dict(OBJECTS[object_type])
-    values = _values(object_type)
+    texts = _texts(object_type)
     also = ("firstname", "lastname") if object_type == "contacts" else ()
-    typed = {name: read(source, values) for name, source in spec.items()}
+    typed = {name: read(source, texts) for name, source in spec.items()}
     typed["source_id"] = F.col("id")
-    typed["record_id"] = F.coalesce(as_text(values["hs_object_id"]), F.col("id"))
+    typed["record_id"] = F.coalesce(texts["hs_object_id"], F.col("id"))
     if object_type == "contacts":
-        typed["full_name"] = full_name(as_text(values["firstname"]), as_text(values["lastname"]))
+        typed["full_name"] = full_name(texts["firstname"], texts["lastname"])
     if object_type in _WITH_CONTACT:
         typed["associated_contact_id"] = first_contact(F.col("associations"))
         typed["associated_contact_name"] = F.lit(None).cast("string")
         typed["associated_contact_email"] = F.lit(None).cast("string")
     ordered = [typed[c].alias(c) for c in columns(object_type) if c in typed]
-    return df.select(*ordered, reject_reason([spec], object_type, also).alias("reject_reason"),
+    return df.select(*ordered, reject_reason([spec], also).alias("reject_reason"),
                      "raw", "seq")
 
 
@@ -96,19 +96,16 @@ def flatten_notes(df: DataFrame) -> DataFrame:
     return _usable(df, "notes")
 
 
-def _status(activity_type: str, values: dict[str, Column], activity_date: Column, as_of) -> Column:
-    def text(name: str) -> Column:
-        return as_text(values[name])
-
+def _status(activity_type: str, texts: dict[str, Column], activity_date: Column, as_of) -> Column:
     if activity_type == "TASK":
         return rules.task_status(
-            text("hs_task_status"), to_stamp(text("hs_task_completion_timestamp")),
-            text("hs_task_is_overdue"), to_stamp(text("hs_task_due_date")),
-            to_stamp(text("hs_task_start_date")), activity_date, as_of)
+            texts["hs_task_status"], to_stamp(texts["hs_task_completion_timestamp"]),
+            texts["hs_task_is_overdue"], to_stamp(texts["hs_task_due_date"]),
+            to_stamp(texts["hs_task_start_date"]), activity_date, as_of)
     if activity_type == "MEETING":
-        return rules.meeting_status(to_stamp(text("hs_meeting_start_time")), activity_date, as_of)
+        return rules.meeting_status(to_stamp(texts["hs_meeting_start_time"]), activity_date, as_of)
     if activity_type == "CALL":
-        return rules.call_status(text("hs_call_status"), activity_date, as_of)
+        return rules.call_status(texts["hs_call_status"], activity_date, as_of)
     return rules.other_status(F.lit(activity_type), activity_date, as_of)
 
 
@@ -120,27 +117,28 @@ def flatten_activity_records(df: DataFrame, activity_type: str, as_of) -> DataFr
     if activity_type not in ACTIVITY_TYPES:
         raise ValueError(f"unsupported activity type: {activity_type}")
     object_type = ACTIVITY_SOURCES[activity_type]
-    values = _values(object_type)
+    texts = _texts(object_type)
     spec, detail = ACTIVITIES[activity_type], DETAILS[activity_type]
-    typed = {name: read(source, values) for name, source in spec.items()}
+    typed = {name: read(source, texts) for name, source in spec.items()}
     typed.setdefault("subject", F.lit(None).cast("string"))
-    source = source_object(F.col("associations"))
-    fields = [read(s, values).alias(name) for name, s in detail.items()]
-    return df.select(
+    fields = [read(s, texts).alias(name) for name, s in detail.items()]
+    # the parts used more than once are computed in a projection of their own
+    dated = df.withColumns({"activity_date": typed["activity_date"],
+                            "_source": source_object()})
+    return dated.select(
         F.col("id").alias("source_id"),
-        F.coalesce(as_text(values["hs_object_id"]), F.col("id")).alias("record_id"),
+        F.coalesce(texts["hs_object_id"], F.col("id")).alias("record_id"),
         F.lit(activity_type).alias("activity_type"),
         typed["subject"].alias("subject"), typed["body"].alias("body"),
         typed["activity_owner"].alias("activity_owner"),
-        source["type"].alias("source_object_type"), source["id"].alias("source_object_id"),
+        F.col("_source.type").alias("source_object_type"),
+        F.col("_source.id").alias("source_object_id"),
         F.lit(None).cast("string").alias("source_object_name"),
-        F.lit(None).cast("string").alias("source_object_email"),
-        typed["activity_date"].alias("activity_date"),
-        _status(activity_type, values, typed["activity_date"], as_of).alias("status"),
+        F.lit(None).cast("string").alias("source_object_email"), "activity_date",
+        _status(activity_type, texts, F.col("activity_date"), as_of).alias("status"),
         F.struct(*fields, raw_properties().alias("raw_properties_json")).alias("detail"),
-        F.col("associations"),
-        reject_reason([spec, detail], object_type,
-                      STATUS_PROPERTIES.get(activity_type, ())).alias("reject_reason"),
+        "associations",
+        reject_reason([spec, detail], STATUS_PROPERTIES.get(activity_type, ())).alias("reject_reason"),
         "raw", "seq")
 
 

@@ -15,6 +15,8 @@ SETTINGS = {
     # no broadcast on an estimate: only sides counted beforehand or measured after their shuffle
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+    # recording a call site per column expression more than doubles the time to state a plan
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -39,22 +39,38 @@ def page_objects(pages: DataFrame) -> DataFrame:
             .select("raw", F.struct("file", "at", "item").cast(_SEQ).alias("seq")))
 
 
+# Object types whose embedded associations no operator reads.
+_UNLINKED = ("companies", "deals", "tickets")
+
+
 def object_schema(object_type: str) -> str:
     fields = ",".join(f"`{name}`:variant" for name in read_properties(object_type))
-    return f"struct<id:variant,properties:struct<{fields}>,associations:{EMBEDDED}>"
+    linked = "" if object_type in _UNLINKED else f",associations:{EMBEDDED}"
+    return f"struct<id:variant,properties:struct<{fields}>{linked}>"
 
 
 def parse_objects(objects: DataFrame, object_type: str) -> DataFrame:
-    """Raw objects to raw, seq, id, properties, associations.
+    """Raw objects to raw, seq, id, properties, misfits, associations.
 
-    Only the properties some operator reads are parsed. Their values stay variants, because a
-    number where a string belongs must be noticed.
+    Only the properties some operator reads are parsed. Each is read as a variant, because a number
+    where a string belongs must be noticed: ``properties`` holds the strings, ``misfits`` names the
+    properties that hold something else. ``associations`` is there for the types that use them.
     """
     parsed = objects.select("*", F.from_json("raw", object_schema(object_type)).alias("_o"))
-    return parsed.select(
-        *objects.columns, object_id(F.col("_o.id")).alias("id"),
-        F.col("_o.properties").alias("properties"),
-        F.col("_o.associations").alias("associations"))
+    names = read_properties(object_type)
+    # one expression text for all properties: the same for each, and far quicker to hand over
+    texts = ", ".join(f"'{n}', CASE WHEN schema_of_variant(_o.properties.`{n}`) = 'STRING' THEN "
+                      f"try_variant_get(_o.properties.`{n}`, '$', 'string') END" for n in names)
+    others = ", ".join(f"CASE WHEN schema_of_variant(_o.properties.`{n}`) NOT IN ('STRING', 'VOID')"
+                       f" THEN '{n}' END" for n in names)
+    row = [object_id(F.col("_o.id")).alias("id"),
+           F.expr(f"CASE WHEN _o.properties IS NOT NULL THEN named_struct({texts}) END")
+           .alias("properties"), F.expr(f"array_compact(array({others}))").alias("misfits")]
+    if object_type not in _UNLINKED:
+        row.append(F.col("_o.associations").alias("associations"))
+    # A filter on parsed values would be pushed below a plain projection and the JSON parsed once
+    # more for it. Nothing is pushed through a generator, so each payload is parsed one time.
+    return parsed.select(*objects.columns, F.inline(F.array(F.struct(*row))))
 
 
 def read_objects(spark: SparkSession, path: str, object_type: str,
