@@ -15,12 +15,25 @@ SETTINGS = {
     # no broadcast on an estimate: only sides counted beforehand or measured after their shuffle
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
-    # recording a call site per column expression more than doubles the time to state a plan
+}
+
+# Settings that can only be given when a session is made.
+AT_START = {
+    # recording a call site per column expression about doubles the time to state a plan
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
+def builder(app: str = "crmlake") -> SparkSession.Builder:
+    """A session builder with all settings; add master and resources where they are not given."""
+    made = SparkSession.builder.appName(app)
+    for key, value in (SETTINGS | AT_START).items():
+        made = made.config(key, value)
+    return made
+
+
 def configure(spark: SparkSession) -> SparkSession:
+    """Put the settings on a session that already runs."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     return spark
