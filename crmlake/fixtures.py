@@ -12,12 +12,19 @@ AS_OF = "2024-01-15 00:00:00"
 BEFORE = "2024-01-01 00:00:00"
 
 
+# A table below this size is dealt out to all cores: the driver tables are one row group each, so
+# a single task would read, shape and parse the whole of it. Larger tables are split by the scan.
+_SPREAD_BELOW = 1 << 30
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table; its zoneless timestamps become timestamps once, here."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return df.select(*[
+    df = df.select(*[
         F.col(n).cast("timestamp").alias(n) if t.startswith("timestamp") else F.col(n)
         for n, t in df.dtypes])
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(spark.sparkContext.defaultParallelism) if size < _SPREAD_BELOW else df
 
 
 def iso(c: Column | str) -> Column:
@@ -181,45 +188,49 @@ ACTIVITY_OF = {"view": "CALL", "click": "EMAIL", "purchase": "MEETING", "signup"
                "error": "NOTE"}
 
 
-def _activity_properties(activity_type: str) -> dict[str, Column]:
-    k, value, ts = F.col("k"), F.col("value"), F.col("ts")
-    name = F.concat(F.lit(f"{activity_type.capitalize()} "), text("event_id"))
-    subject = F.when(value >= 10, name)
-    body = F.concat(F.lit("<p>k "), text(k), F.lit("<br/>done</p>"))
-    common = {"hubspot_owner_id": text(k), "hs_timestamp": iso(ts), "hs_createdate": iso(ts)}
-    if activity_type == "CALL":
-        return common | {
-            "hs_call_title": subject, "hs_call_body": body,
-            "hs_call_direction": F.when(value < 100, F.lit("INBOUND")).otherwise("OUTBOUND"),
-            "hs_call_status": F.when(value < 20, F.lit("SCHEDULED")).when(
-                value < 200, F.lit("COMPLETED"))}
-    if activity_type == "EMAIL":
-        return common | {
-            "hs_email_subject": subject, "hs_email_html": body,
-            "hs_email_direction": F.when(k < 30, F.lit("Incoming")).when(k < 90, F.lit("SENT")),
-            "hs_email_status": F.when(k < 95, F.lit("SENT")),
-            "hs_num_email_opens": F.when(k < 50, text(k)).when(k < 60, F.lit("n/a")),
-            "hs_email_open_rate": F.when(value > 50, F.lit("0.5")),
-            "hs_num_email_clicks": text(F.floor(k / 10)),
-            "hs_email_click_rate": F.when(value > 80, F.lit("0.1"))}
-    if activity_type == "MEETING":
-        return common | {
-            "hs_meeting_title": subject, "hs_meeting_body": body,
-            "hs_meeting_start_time": F.when(value >= 100, iso(ts + F.expr("interval 1 day"))),
-            "hs_meeting_end_time": F.when(value >= 200, iso(ts + F.expr("interval 2 days"))),
-            "hs_meeting_location": F.when(k < 50, F.concat(F.lit("Room "), text(k)))}
-    if activity_type == "TASK":
-        return common | {
-            "hs_task_subject": subject, "hs_task_body": body,
-            "hs_task_status": F.when(k < 10, F.lit("COMPLETED")).when(k < 30, F.lit("WAITING"))
-            .when(k < 40, F.lit("in_progress")),
-            "hs_task_completion_timestamp": F.when(k >= 90, iso(ts)),
-            "hs_task_is_overdue": F.when(k.between(40, 50), F.lit("True")),
-            "hs_task_due_date": F.when(k.between(45, 80), iso(ts + F.expr("interval 2 days"))),
-            "hs_task_start_date": F.when(k > 80, iso(ts + F.expr("interval 3 days"))),
-            "hs_task_priority": F.when(value > 30, F.lit("HIGH")),
-            "hs_task_type": F.when(value > 60, F.lit("TODO"))}
-    return common | {"hs_note_body": F.concat(body, F.repeat(F.lit("word "), k))}
+_NAME = "CASE WHEN value >= 10 THEN concat('{0} ', event_id) END"
+_BODY = "concat('<p>k ', k, '<br/>done</p>')"
+
+
+def _later(days: int) -> str:
+    return f"date_format(ts + interval {days} day, {_ISO})"
+
+
+_ISO = "\"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\""
+_COMMON = {"hubspot_owner_id": "string(k)", "hs_timestamp": f"date_format(ts, {_ISO})",
+           "hs_createdate": f"date_format(ts, {_ISO})"}
+
+# What the properties of each activity type are made of.
+ACTIVITY_PROPERTIES: dict[str, dict[str, str]] = {
+    "CALL": {
+        "hs_call_title": _NAME.format("Call"), "hs_call_body": _BODY,
+        "hs_call_direction": "CASE WHEN value < 100 THEN 'INBOUND' ELSE 'OUTBOUND' END",
+        "hs_call_status": "CASE WHEN value < 20 THEN 'SCHEDULED' WHEN value < 200 THEN 'COMPLETED' END"},
+    "EMAIL": {
+        "hs_email_subject": _NAME.format("Email"), "hs_email_html": _BODY,
+        "hs_email_direction": "CASE WHEN k < 30 THEN 'Incoming' WHEN k < 90 THEN 'SENT' END",
+        "hs_email_status": "CASE WHEN k < 95 THEN 'SENT' END",
+        "hs_num_email_opens": "CASE WHEN k < 50 THEN string(k) WHEN k < 60 THEN 'n/a' END",
+        "hs_email_open_rate": "CASE WHEN value > 50 THEN '0.5' END",
+        "hs_num_email_clicks": "string(k div 10)",
+        "hs_email_click_rate": "CASE WHEN value > 80 THEN '0.1' END"},
+    "MEETING": {
+        "hs_meeting_title": _NAME.format("Meeting"), "hs_meeting_body": _BODY,
+        "hs_meeting_start_time": f"CASE WHEN value >= 100 THEN {_later(1)} END",
+        "hs_meeting_end_time": f"CASE WHEN value >= 200 THEN {_later(2)} END",
+        "hs_meeting_location": "CASE WHEN k < 50 THEN concat('Room ', k) END"},
+    "TASK": {
+        "hs_task_subject": _NAME.format("Task"), "hs_task_body": _BODY,
+        "hs_task_status": """CASE WHEN k < 10 THEN 'COMPLETED' WHEN k < 30 THEN 'WAITING'
+            WHEN k < 40 THEN 'in_progress' END""",
+        "hs_task_completion_timestamp": f"CASE WHEN k >= 90 THEN {_later(0)} END",
+        "hs_task_is_overdue": "CASE WHEN k BETWEEN 40 AND 50 THEN 'True' END",
+        "hs_task_due_date": f"CASE WHEN k BETWEEN 45 AND 80 THEN {_later(2)} END",
+        "hs_task_start_date": f"CASE WHEN k > 80 THEN {_later(3)} END",
+        "hs_task_priority": "CASE WHEN value > 30 THEN 'HIGH' END",
+        "hs_task_type": "CASE WHEN value > 60 THEN 'TODO' END"},
+    "NOTE": {"hs_note_body": f"concat({_BODY}, repeat('word ', k))"},
+}
 
 
 def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,23 +244,24 @@ def activities(spark: SparkSession, sf_dir: str, activity_type: str) -> DataFram
         return sms(spark, sf_dir)
     kind = next(e for e, a in ACTIVITY_OF.items() if a == activity_type)
     rows = event_rows(spark, sf_dir).filter(F.col("event_type") == kind)
-    return raw_object(rows, F.col("event_id"), _activity_properties(activity_type),
+    made = _COMMON | ACTIVITY_PROPERTIES[activity_type]
+    return raw_object(rows, F.col("event_id"), {n: F.expr(e) for n, e in made.items()},
                       event_associations())
 
 
 def event_associations() -> dict[str, Column]:
-    k = F.col("k")
-    kinds = F.array(
-        F.struct(F.lit("").alias("label"), F.lit(5).alias("associationTypeId"),
-                 F.lit("SYSTEM").alias("category")),
-        F.struct(F.when(k < 10, F.lit("Main deal")).alias("label"),
-                 F.lit(7).alias("associationTypeId"), F.lit("USER").alias("category")),
-        F.struct(F.lit("Later").alias("label"), F.lit(9).alias("associationTypeId"),
-                 F.lit(None).cast("string").alias("category")))
     return {
-        "companies": F.when(k >= 90, _one(k, type=F.lit("to_company"))),
-        "deals": F.when(k < 20, _one(F.col("event_id"), associationTypes=kinds)),
-        "contacts": F.when(k < 80, _one(F.col("user_id"), type=F.lit("to_contact"))),
+        "companies": F.expr("CASE WHEN k >= 90 THEN "
+                            "array(named_struct('id', k, 'type', 'to_company')) END"),
+        "deals": F.expr("""CASE WHEN k < 20 THEN array(named_struct('id', event_id,
+            'associationTypes', array(
+              named_struct('label', '', 'associationTypeId', 5, 'category', 'SYSTEM'),
+              named_struct('label', CASE WHEN k < 10 THEN 'Main deal' END,
+                           'associationTypeId', 7, 'category', 'USER'),
+              named_struct('label', 'Later', 'associationTypeId', 9,
+                           'category', CAST(NULL AS STRING))))) END"""),
+        "contacts": F.expr("CASE WHEN k < 80 THEN "
+                           "array(named_struct('id', user_id, 'type', 'to_contact')) END"),
     }
 
 

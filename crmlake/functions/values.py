@@ -78,14 +78,18 @@ def prop(value: Column, kind: str) -> Column:
     raise ValueError(f"unknown property kind: {kind}")
 
 
-def read(source: From, texts: dict[str, Column]) -> Column:
-    """The column a :class:`From` describes, over the property texts."""
-    found = [texts[n] for n in source.names]
+def read(source: From) -> Column:
+    """The column a :class:`From` describes, over the texts in ``properties``.
+
+    Stated as expression text: a load has some hundred such columns, and one text each is handed to
+    the JVM far quicker than a tree of calls.
+    """
+    found = [f"properties.`{n}`" for n in source.names]
     if source.kind == "stamp":
-        return F.coalesce(*[to_stamp(t) for t in found])
+        return F.expr(f"coalesce({', '.join(f'try_to_timestamp({t})' for t in found)})")
     if source.kind == "filled":
-        return F.coalesce(*[F.nullif(t, F.lit("")) for t in found])
-    first = F.coalesce(*found)
+        return F.expr("coalesce({})".format(", ".join(f"nullif({t}, '')" for t in found)))
+    first = F.expr(f"coalesce({', '.join(found)})")
     if source.kind == "body":
         return strip_html(first)
     return to_money(first) if source.kind == "money" else first

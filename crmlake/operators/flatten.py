@@ -16,7 +16,6 @@ from crmlake.model.objects import (
     ACTIVITIES, ACTIVITY_SOURCES, ACTIVITY_TYPES, DETAILS, OBJECTS, STATUS_PROPERTIES, From,
     read_properties)
 from crmlake.model.tables import columns
-from crmlake.sources.landed import raw_properties
 
 _WITH_CONTACT = ("communications", "emails")
 
@@ -43,7 +42,7 @@ def flatten_all(df: DataFrame, object_type: str) -> DataFrame:
     spec = dict(OBJECTS[object_type])
     texts = _texts(object_type)
     also = ("firstname", "lastname") if object_type == "contacts" else ()
-    typed = {name: read(source, texts) for name, source in spec.items()}
+    typed = {name: read(source) for name, source in spec.items()}
     typed["source_id"] = F.col("id")
     typed["record_id"] = F.coalesce(texts["hs_object_id"], F.col("id"))
     if object_type == "contacts":
@@ -119,9 +118,9 @@ def flatten_activity_records(df: DataFrame, activity_type: str, as_of) -> DataFr
     object_type = ACTIVITY_SOURCES[activity_type]
     texts = _texts(object_type)
     spec, detail = ACTIVITIES[activity_type], DETAILS[activity_type]
-    typed = {name: read(source, texts) for name, source in spec.items()}
+    typed = {name: read(source) for name, source in spec.items()}
     typed.setdefault("subject", F.lit(None).cast("string"))
-    fields = [read(s, texts).alias(name) for name, s in detail.items()]
+    fields = [read(s).alias(name) for name, s in detail.items()]
     # the parts used more than once are computed in a projection of their own
     dated = df.withColumns({"activity_date": typed["activity_date"],
                             "_source": source_object()})
@@ -136,7 +135,7 @@ def flatten_activity_records(df: DataFrame, activity_type: str, as_of) -> DataFr
         F.lit(None).cast("string").alias("source_object_name"),
         F.lit(None).cast("string").alias("source_object_email"), "activity_date",
         _status(activity_type, texts, F.col("activity_date"), as_of).alias("status"),
-        F.struct(*fields, raw_properties().alias("raw_properties_json")).alias("detail"),
+        F.struct(*fields, F.col("properties_json").alias("raw_properties_json")).alias("detail"),
         "associations",
         reject_reason([spec, detail], STATUS_PROPERTIES.get(activity_type, ())).alias("reject_reason"),
         "raw", "seq")

@@ -43,34 +43,45 @@ def page_objects(pages: DataFrame) -> DataFrame:
 _UNLINKED = ("companies", "deals", "tickets")
 
 
-def object_schema(object_type: str) -> str:
-    fields = ",".join(f"`{name}`:variant" for name in read_properties(object_type))
-    linked = "" if object_type in _UNLINKED else f",associations:{EMBEDDED}"
-    return f"struct<id:variant,properties:struct<{fields}>{linked}>"
+# A JSON value that is neither a string nor null looks like this. Text inside a string can look like
+# it too, so a match only says that the types have to be looked at.
+_OTHER_VALUE = r'"\s*:\s*[^"n\s]'
+
+
+def _fields(object_type: str, kind: str) -> str:
+    return "struct<" + ",".join(f"`{n}`:{kind}" for n in read_properties(object_type)) + ">"
 
 
 def parse_objects(objects: DataFrame, object_type: str) -> DataFrame:
-    """Raw objects to raw, seq, id, properties, misfits, associations.
+    """Raw objects to raw, seq, id, properties, misfits, properties_json, associations.
 
-    Only the properties some operator reads are parsed. Each is read as a variant, because a number
-    where a string belongs must be noticed: ``properties`` holds the strings, ``misfits`` names the
-    properties that hold something else. ``associations`` is there for the types that use them.
+    Only the properties some operator reads are parsed, as strings. A number where a string belongs
+    must be noticed: ``misfits`` names the properties that hold something else. Types are looked at
+    only in rows whose text shows such a value, which hardly any row does. ``associations`` is there
+    for the object types that use them.
     """
-    parsed = objects.select("*", F.from_json("raw", object_schema(object_type)).alias("_o"))
-    names = read_properties(object_type)
-    # one expression text for all properties: the same for each, and far quicker to hand over
-    texts = ", ".join(f"'{n}', CASE WHEN schema_of_variant(_o.properties.`{n}`) = 'STRING' THEN "
-                      f"try_variant_get(_o.properties.`{n}`, '$', 'string') END" for n in names)
-    others = ", ".join(f"CASE WHEN schema_of_variant(_o.properties.`{n}`) NOT IN ('STRING', 'VOID')"
-                       f" THEN '{n}' END" for n in names)
+    linked = "" if object_type in _UNLINKED else f",associations:{EMBEDDED}"
+    parsed = objects.select("*", F.from_json(
+        "raw", f"struct<id:variant,properties:string{linked}>").alias("_o"))
+    text = F.col("_o.properties")
+    typed = parsed.select(
+        *objects.columns, "_o", text.startswith("{").alias("_given"),
+        F.from_json(text, _fields(object_type, "string")).alias("_texts"))
+    kinds = ", ".join(f"CASE WHEN schema_of_variant(v.`{n}`) NOT IN ('STRING', 'VOID') THEN '{n}' END"
+                      for n in read_properties(object_type))
+    looked_at = F.expr(f"flatten(transform(array(from_json(_o.properties, "
+                       f"'{_fields(object_type, 'variant')}')), v -> array_compact(array({kinds}))))")
     row = [object_id(F.col("_o.id")).alias("id"),
-           F.expr(f"CASE WHEN _o.properties IS NOT NULL THEN named_struct({texts}) END")
-           .alias("properties"), F.expr(f"array_compact(array({others}))").alias("misfits")]
+           F.when(F.col("_given"), F.col("_texts")).alias("properties"),
+           F.when(text.rlike(_OTHER_VALUE), looked_at).otherwise(
+               F.array().cast("array<string>")).alias("misfits"),
+           text.alias("properties_json")]
     if object_type not in _UNLINKED:
         row.append(F.col("_o.associations").alias("associations"))
     # A filter on parsed values would be pushed below a plain projection and the JSON parsed once
     # more for it. Nothing is pushed through a generator, so each payload is parsed one time.
-    return parsed.select(*objects.columns, F.inline(F.array(F.struct(*row))))
+    rows = typed.select(*objects.columns, F.struct(*row).alias("_row"))
+    return rows.select(*objects.columns, F.inline(F.array("_row")))
 
 
 def read_objects(spark: SparkSession, path: str, object_type: str,

@@ -204,8 +204,8 @@ def records(spark, d, kind):
 
 
 def edges(spark, d):
-    made = [E.activity_edges(records(spark, d, k)) for k in KINDS]
-    return TL.union_events(*made)
+    made = [records(spark, d, k).select("source_id", "associations", "seq") for k in KINDS]
+    return E.activity_edges(TL.union_events(*made))
 
 
 _EDGE = ("activity_source_id", "associated_object_type", "associated_object_id",
@@ -278,16 +278,17 @@ def j8(spark, d):
 def stored(spark, d, kinds=KINDS):
     """Activities, details and edges as they stand in the tables after a load."""
     owners = R.owners_dim(L.owner_rows(X.owner_pages(spark, d)))
-    rows = FL.all_activities(**{k: flat(spark, d, k) for k in kinds})
+    made = {k: FL.split_valid(records(spark, d, k))[0] for k in kinds}
+    rows = FL.all_activities(**{k: r.drop("detail", "associations") for k, r in made.items()})
     rows = R.resolve_owner(rows, "activity_owner", owners, X.owner_overrides(spark, d))
     activities = to_table(FL.with_etl_date(rows, X.AS_OF), "activities")
     details = {}
-    for kind in kinds:
-        made = FL.details_of(parsed(spark, d, kind), kind).withColumn(
-            "activity_id", surrogate_id(["source_id"]))
-        details[kind] = to_table(FL.with_etl_date(made, X.AS_OF), DETAIL_TABLES[kind])
-    made = [E.activity_edges(records(spark, d, k)) for k in kinds]
-    return activities, details, TL.union_events(*made)
+    for kind, r in made.items():
+        own = r.select("detail.*", surrogate_id(["source_id"]).alias("activity_id"))
+        details[kind] = to_table(FL.with_etl_date(own, X.AS_OF), DETAIL_TABLES[kind])
+    links = E.activity_edges(FL.all_activities(**{
+        k: r.select("source_id", "associations", "seq") for k, r in made.items()}))
+    return activities, details, links
 
 
 def of_contacts(spark, d, kinds=KINDS):
