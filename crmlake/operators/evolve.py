@@ -18,7 +18,7 @@ def swap_columns(df: DataFrame, a: str, b: str) -> DataFrame:
 def delete(df: DataFrame, keys: DataFrame, on) -> DataFrame:
     """The rows whose key is not listed."""
     on = [on] if isinstance(on, str) else list(on)
-    return df.join(keys.select(*on), on, "left_anti")
+    return df.join(keys.select(*on).distinct(), on, "left_anti")
 
 
 def cascade_delete(activities: DataFrame, details: dict[str, DataFrame], keys: DataFrame,
@@ -27,7 +27,7 @@ def cascade_delete(activities: DataFrame, details: dict[str, DataFrame], keys: D
 
     Returns (activities, details, edges).
     """
-    gone = activities.join(keys.select("source_id"), "source_id", "left_semi").select(
+    gone = activities.join(keys.select("source_id").distinct(), "source_id", "left_semi").select(
         F.col("id").alias("activity_id"))
     left = delete(activities, keys, "source_id")
     kept = {kind: d.join(gone, "activity_id", "left_anti") for kind, d in details.items()}

@@ -64,12 +64,15 @@ def with_event_details(activities: DataFrame, details: dict[str, DataFrame]) ->
         "left").drop("_activity", "_kind")
 
 
-def contact_activities(activities: DataFrame, edges: DataFrame) -> DataFrame:
-    """Activities with the contacts they have an edge to: adds ``contact_id``. Ids ignore case."""
-    sides = filter_edges(edges, "contact").select(
+def _linked(edges: DataFrame) -> DataFrame:
+    return filter_edges(edges, "contact").select(
         F.lower("activity_source_id").alias("_key"),
         F.col("associated_object_id").alias("contact_id"))
-    return activities.join(sides, F.lower("source_id") == F.col("_key")).drop("_key")
+
+
+def contact_activities(activities: DataFrame, edges: DataFrame) -> DataFrame:
+    """Activities with the contacts they have an edge to: adds ``contact_id``. Ids ignore case."""
+    return activities.join(_linked(edges), F.lower("source_id") == F.col("_key")).drop("_key")
 
 
 def _is_contact_source() -> Column:
@@ -79,22 +82,23 @@ def _is_contact_source() -> Column:
 
 def source_fallback(activities: DataFrame, edges: DataFrame) -> DataFrame:
     """Activities without a contact edge whose source object is a contact: adds ``contact_id``."""
-    linked = filter_edges(edges, "contact").select(F.lower("activity_source_id").alias("_key"))
+    # each linked activity once: repeats are dropped before they are shuffled
+    linked = _linked(edges).select("_key").distinct()
     alone = activities.filter(_is_contact_source()).join(
         linked, F.lower("source_id") == F.col("_key"), "left_anti")
     return alone.withColumn("contact_id", F.col("source_object_id"))
 
 
 def activities_of_contacts(activities: DataFrame, edges: DataFrame) -> DataFrame:
-    """:func:`contact_activities` and :func:`source_fallback` together, in a single left join."""
-    sides = filter_edges(edges, "contact").select(
-        F.lower("activity_source_id").alias("_key"),
-        F.col("associated_object_id").alias("_contact"))
-    joined = activities.join(sides, F.lower("source_id") == F.col("_key"), "left")
-    contact = F.when(F.col("_key").isNotNull(), F.col("_contact")).otherwise(
-        F.when(_is_contact_source(), F.col("source_object_id")))
-    return joined.withColumn("contact_id", contact).filter("contact_id is not null").drop(
-        "_key", "_contact")
+    """:func:`contact_activities` and :func:`source_fallback` together.
+
+    The fallback pairs are found on three narrow columns; the wide rows are joined once, and by an
+    inner join, in which adaptive execution can split an activity with very many edges.
+    """
+    narrow = activities.select("source_id", "source_object_type", "source_object_id")
+    pairs = _linked(edges).unionByName(source_fallback(narrow, edges).select(
+        F.lower("source_id").alias("_key"), "contact_id"))
+    return activities.join(pairs, F.lower("source_id") == F.col("_key")).drop("_key")
 
 
 def ticket_contacts(tickets: DataFrame, edges: DataFrame) -> DataFrame:

@@ -31,9 +31,9 @@ def bridge_contact_deal(contact_company: DataFrame, activity_edges: DataFrame) -
     """Contacts with the deals whose id equals the id of their company.
 
     The rule is kept as it was defined. The result only says whether such a deal edge exists, so a
-    semi join answers it and the many-to-many pairs are never formed.
+    semi join on the distinct deal ids answers it and the many-to-many pairs are never formed.
     """
-    deals = filter_edges(activity_edges, "deal").select("associated_object_id")
+    deals = filter_edges(activity_edges, "deal").select("associated_object_id").distinct()
     return contact_company.join(
         deals, F.col("company_source_id") == F.col("associated_object_id"), "left_semi",
     ).select("contact_source_id", F.col("company_source_id").alias("deal_source_id")).distinct()

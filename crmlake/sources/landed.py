@@ -174,13 +174,17 @@ HISTORY = ("struct<id:variant,propertiesWithHistory:map<string,array<struct<valu
 def history_payloads(payloads: DataFrame, object_type: str) -> DataFrame:
     """History payloads (column ``page``) to one row per object and property, items in order."""
     parsed = payloads.select(F.from_json("page", HISTORY).alias("_h"))
-    rows = parsed.select(object_id(F.col("_h.id")).alias("object_id"),
-                         F.explode("_h.propertiesWithHistory").alias("property_name", "items"))
-    items = F.transform("items", lambda x: F.struct(
-        as_text(x["value"]).alias("value"), as_text(x["timestamp"]).alias("timestamp"),
-        as_text(x["source"]).alias("source"), as_text(x["sourceId"]).alias("source_id")))
-    return rows.select(F.lit(object_type).alias("object_type"), "object_id", "property_name",
-                       items.alias("items"))
+
+    def item(x: Column) -> Column:
+        return F.struct(
+            as_text(x["value"]).alias("value"), as_text(x["timestamp"]).alias("timestamp"),
+            as_text(x["source"]).alias("source"), as_text(x["sourceId"]).alias("source_id"))
+
+    # all columns come out of the generator, so no filter is pushed below the parsing
+    rows = F.transform(F.map_entries("_h.propertiesWithHistory"), lambda e: F.struct(
+        F.lit(object_type).alias("object_type"), object_id(F.col("_h.id")).alias("object_id"),
+        e["key"].alias("property_name"), F.transform(e["value"], item).alias("items")))
+    return parsed.select(F.inline(rows))
 
 
 def read_property_history(spark: SparkSession, path: str, object_type: str) -> DataFrame:
