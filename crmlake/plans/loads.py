@@ -102,6 +102,7 @@ class Context:
     later_contacts: DataFrame | None = None
     rejected: dict[str, DataFrame] = field(default_factory=dict)
     watched: dict[str, Observation] = field(default_factory=dict)
+    shared: dict[str, DataFrame] = field(default_factory=dict)
 
     def watch(self, df: DataFrame, name: str, bad: Column) -> DataFrame:
         """Count the bad rows of a frame in the pass that writes the good ones."""
@@ -131,6 +132,13 @@ class Context:
         ok, self.rejected[object_type] = flatten.split_valid(rows)
         return ok
 
+    def run_contacts(self) -> DataFrame:
+        """Ids, names and emails of this run's contacts, parsed once for all loads that look them up."""
+        if "contacts" not in self.shared:
+            rows = self.usable("contacts").select("source_id", "record_id", "full_name", "email", "seq")
+            self.shared["contacts"] = self.stage(rows, "run-contacts")
+        return self.shared["contacts"]
+
     def owned(self, df: DataFrame, column: str) -> DataFrame:
         if self.landed.owners is None:
             if self.owner_overrides is None:
@@ -172,7 +180,7 @@ def load_tickets(ctx: Context) -> DataFrame:
 def load_communications(ctx: Context) -> DataFrame:
     """Contacts are looked up in this run, then the stored table, then a later snapshot."""
     rows = ctx.owned(ctx.usable("communications", watched=True), "activity_assigned_to")
-    tiers = [ctx.usable("contacts")] if "contacts" in ctx.landed.objects else []
+    tiers = [ctx.run_contacts()] if "contacts" in ctx.landed.objects else []
     tiers += [ctx.read("contacts")]
     tiers += [] if ctx.later_contacts is None else [ctx.later_contacts]
     rows = resolve.enrich_contact(rows, "associated_contact_id", *tiers)
@@ -183,7 +191,7 @@ def load_emails(ctx: Context) -> DataFrame:
     """Contacts are looked up in this run only."""
     rows = ctx.owned(ctx.usable("emails", watched=True), "activity_assigned_to")
     if "contacts" in ctx.landed.objects:
-        rows = resolve.enrich_contact(rows, "associated_contact_id", ctx.usable("contacts"))
+        rows = resolve.enrich_contact(rows, "associated_contact_id", ctx.run_contacts())
     return upsert("emails", ctx.read("emails"), rows, ctx.as_of)
 
 
@@ -263,7 +271,7 @@ def _activities_of(ctx: Context, records: dict[str, DataFrame]) -> DataFrame:
     rows = flatten.all_activities(**{k: r.drop("detail", "edges") for k, r in records.items()})
     rows = ctx.owned(rows, "activity_owner")
     if "contacts" in ctx.landed.objects:
-        rows = resolve.enrich_source(rows, ctx.usable("contacts"))
+        rows = resolve.enrich_source(rows, ctx.run_contacts())
     return rows
 
 
@@ -380,6 +388,8 @@ def run_full(ctx: Context, rebuild: bool = False) -> DataFrame:
         step("activity_associations", lambda: load_activity_edges(ctx, records, stored))
     step("property_histories", lambda: load_property_history(ctx))
     step("contact_activity_timelines", lambda: build_timeline(ctx))
+    ctx.shared.clear()
+    tables.drop_staged()
     return ctx.spark.createDataFrame(metrics, METRICS)
 
 

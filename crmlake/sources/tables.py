@@ -28,6 +28,7 @@ class Tables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
         self._written: list[str] = []
+        self._staged: list[str] = []
 
     def _folder(self, path: str):
         jvm = self.spark._jvm
@@ -71,9 +72,17 @@ class Tables:
         What several outputs are built from is computed once, and its lineage ends here.
         """
         path = f"{self.root}/_staged/{name}-{uuid.uuid4().hex}"
+        self._staged.append(path)
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop_staged(self) -> None:
+        """Remove the intermediate results of this object; nothing may read them any more."""
+        for path in self._staged:
+            fs, where = self._folder(path)
+            fs.delete(where, True)
+        self._staged = []
+
     def begin(self) -> None:
         """Versions written from here on belong to one group, see :meth:`roll_back`."""
         self._written = []
