@@ -3,8 +3,8 @@
 Two sets of similarity t or more share a token among the first n - ceil(t n) + 1 tokens of either, in
 *any* order of all tokens. Tokens are put in ``ORDERS`` global orders: rarer first, by counts over all
 documents, and tokens of like frequency by another hash for each order. Candidates come from the lists
-of the first order's prefixes and must share a prefix token in every other order as well; the rest is
-verified on whole sets.
+of the first order's prefixes, and in every order their prefixes must share as many tokens as similar
+sets of their sizes do (at least one); what passes all orders is verified on whole sets.
 
 Four passes, all distributed:
 
@@ -187,10 +187,9 @@ def join_documents(docs: DataFrame, width: int = WORDS, per_cent: int = PER_CENT
 
     written = texts.mapInArrow(prefixes, "doc long, n int, tokens array<long>").checkpoint()
     tokens = written.select("doc", "n", F.explode("tokens").alias("token"))
-    shared = (tokens.groupBy("token").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
-              .where("least <> most").select("token").checkpoint())
-    lists = tokens.join(shared, "token").checkpoint()
-    links = _links(spark, texts, lists, levels, width, per_cent)
+    shared = (tokens.groupBy("token").agg(F.count("*").alias("k")).where("k > 1").select("token").checkpoint())
+    lists = tokens.join(_small(shared), "token").checkpoint()
+    links = _links(texts, written, lists, levels, width, per_cent)
 
     first_of = sets.where("n > 0").join(classes, "set").select("doc_id", "first").where("doc_id <> first")
     if links is not None:
@@ -213,13 +212,33 @@ def join_documents(docs: DataFrame, width: int = WORDS, per_cent: int = PER_CENT
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.col("c").alias("component_id"))
 
 
-def _links(spark, texts: DataFrame, lists: DataFrame, levels, width: int, per_cent: int) -> DataFrame | None:
+def _small(ids: DataFrame) -> DataFrame:
+    """``ids`` (one column of longs), marked for broadcast where they were counted to be few."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
+def _fits(n, m, per_cent: int):
+    """Sizes that can be as similar as asked."""
+    return 100 * F.least(n, m) >= per_cent * F.greatest(n, m)
+
+
+def _prefixes_fit(p, q, n, m, per_cent: int):
+    """Whether prefixes p, q of sets of n and m tokens share enough for the sets to be similar.
+
+    Where the prefix that ends first in the order ends, all common tokens so far are in both prefixes;
+    beyond, that set has no more than ceil(t n) - 1 tokens. So the sets share at most what the prefixes
+    share and the larger of both rests.
+    """
+    least = lambda c: F.ceil(c * per_cent / 100)
+    needed = F.ceil((n + m) * per_cent / (100 + per_cent))
+    return F.size(F.array_intersect(p, q)) >= F.greatest(F.lit(1), needed - F.greatest(least(n), least(m)) + 1)
+
+
+def _links(texts: DataFrame, written: DataFrame, lists: DataFrame, levels, width: int,
+           per_cent: int) -> DataFrame | None:
     """Verified links (a, b) that connect all that any link connects, or None."""
-    ids = lists.select(F.col("doc").alias("doc_id")).distinct().checkpoint()
-    count = ids.count()
-    if count == 0:
-        return None
-    wanted = F.broadcast(ids) if count <= BROADCAST_IDS else ids
+    count = lists.select("doc").distinct().count()
+    orders = [f"p{o}" for o in range(1, ORDERS)]
 
     def whole(batches):
         seen: set[tuple] = set()
@@ -231,37 +250,47 @@ def _links(spark, texts: DataFrame, lists: DataFrame, levels, width: int, per_ce
                 seen.add(row)
                 rows.append((ids[k], tokens, [prefix(tokens, levels.value, o, per_cent) for o in range(1, ORDERS)]))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int64()), _arrays([r[1] for r in rows])]
-                + [_arrays([r[2][o] for r in rows]) for o in range(ORDERS - 1)],
-                ["doc", "tokens", *(f"p{o}" for o in range(1, ORDERS))])
+                [pa.array([r[0] for r in rows], pa.int64()), pa.array([len(r[1]) for r in rows], pa.int32()),
+                 _arrays([r[1] for r in rows])] + [_arrays([r[2][o] for r in rows]) for o in range(ORDERS - 1)],
+                ["doc", "n", "tokens", *orders])
 
-    heads = ", ".join(f"p{o} array<long>" for o in range(1, ORDERS))
-    stored = texts.join(wanted, "doc_id", "left_semi").mapInArrow(
-        whole, f"doc long, tokens array<long>, {heads}").checkpoint()
-    orders = [f"p{o}" for o in range(1, ORDERS)]
+    schema = "doc long, n int, tokens array<long>, " + ", ".join(f"{p} array<long>" for p in orders)
+
+    def docs_of(pairs: DataFrame) -> DataFrame:
+        return _small(pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct().checkpoint())
+
+    def both(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+        """The pairs with the rows of either end, all columns with the end's name behind theirs."""
+        side = lambda s: rows.select(*[F.col(c).alias(s if c == "doc" else f"{c}_{s}") for c in rows.columns])
+        return pairs.join(side("a"), "a").join(side("b"), "b")
+
+    def passes(pairs: DataFrame, name: str) -> DataFrame:
+        return pairs.where(_prefixes_fit(f"{name}_a", f"{name}_b", F.col("n_a"), F.col("n_b"), per_cent))
 
     def verified(pairs: DataFrame) -> DataFrame:
-        """Those of ``pairs`` (a, b) that pass the other orders' filters and then the exact test."""
-        side = lambda s, names: stored.select(F.col("doc").alias(s), *[F.col(n).alias(f"{n}_{s}") for n in names])
-        found = pairs.join(side("a", orders), "a").join(side("b", orders), "b")
+        """Those of ``pairs`` (a, b) that pass all orders' filters and then the exact test.
+
+        Whole sets are made, by another pass over the texts, only of documents whose pairs pass the
+        first order's filter.
+        """
+        heads = written.join(docs_of(pairs), "doc", "left_semi")
+        found = passes(both(pairs, heads), "tokens").select("a", "b").distinct().checkpoint()
+        wanted = docs_of(found).withColumnRenamed("doc", "doc_id")
+        sets = texts.join(wanted, "doc_id", "left_semi").mapInArrow(whole, schema).checkpoint()
+        found = both(found, sets)
         for p in orders:
-            found = found.where(F.arrays_overlap(f"{p}_a", f"{p}_b"))
-        found = (found.select("a", "b").join(side("a", ["tokens"]), "a").join(side("b", ["tokens"]), "b")
-                 .withColumn("both", F.size(F.array_intersect("tokens_a", "tokens_b"))))
-        union = F.size("tokens_a") + F.size("tokens_b") - F.col("both")
+            found = passes(found, p)
+        found = found.withColumn("both", F.size(F.array_intersect("tokens_a", "tokens_b")))
+        union = F.col("n_a") + F.col("n_b") - F.col("both")
         return found.where(100 * F.col("both") >= per_cent * union).select("a", "b").checkpoint()
 
-    def fits(n: str, m: str):
-        """Sizes that can be as similar as asked."""
-        return (100 * F.least(F.col(n), F.col(m)) >= per_cent * F.greatest(F.col(n), F.col(m)))
-
     links, left = None, lists.withColumn("of", F.col("doc"))
     for r in range(HUB_ROUNDS):
         if left.isEmpty():
             return links
         rank = F.col("doc") if r == 0 else F.xxhash64("doc", F.lit(r))
         hubs = left.groupBy("token").agg(F.min(F.struct(rank.alias("rank"), "doc", "n", "of")).alias("h"))
-        pairs = (left.join(hubs, "token").where(F.col("of") != F.col("h.of")).where(fits("n", "h.n"))
+        pairs = (left.join(hubs, "token").where(F.col("of") != F.col("h.of")).where(_fits(F.col("n"), F.col("h.n"), per_cent))
                  .groupBy("doc").agg(F.min("h").alias("h"))
                  .select(F.col("doc").alias("b"), F.col("h.doc").alias("a")).checkpoint())
         found = verified(pairs)
@@ -276,7 +305,7 @@ def _links(spark, texts: DataFrame, lists: DataFrame, levels, width: int, per_ce
             break
     one = left.select("token", F.col("doc").alias("a"), F.col("n").alias("na"), F.col("of").alias("oa"))
     two = left.select("token", F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("of").alias("ob"))
-    pairs = (one.join(two, "token").where("a < b AND oa <> ob").where(fits("na", "nb"))
+    pairs = (one.join(two, "token").where("a < b AND oa <> ob").where(_fits(F.col("na"), F.col("nb"), per_cent))
              .select("a", "b").distinct().checkpoint())
     found = verified(pairs)
     if found.isEmpty():
@@ -299,5 +328,4 @@ def keep_one(docs: DataFrame, joined: DataFrame, id_column: str = "doc_id") -> D
     Ids to remove are broadcast where they were counted to be few, else joined by a shuffle.
     """
     gone = joined.where("component_id <> doc_id").select(F.col("doc_id").alias(id_column)).checkpoint()
-    few = gone.count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(gone) if few else gone, id_column, "left_anti").select(*docs.columns)
+    return docs.join(_small(gone), id_column, "left_anti").select(*docs.columns)
