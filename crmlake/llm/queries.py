@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crmlake.llm import jaccard_join, language_crf, packing, pii_feistel, quality_crf
+from crmlake.llm import (cross_polytope, jaccard_join, language_crf, packing, pii_feistel, quality_crf,
+                         topk_balltree)
 from crmlake.llm.shared import crc_mod, documents, session, table
 
 QUERIES = {}
@@ -30,6 +31,22 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", (crc_mod("doc_id", 3) == 1).alias("held_out"), "score", "predicted"))
 
 
+@query("op2_topk_balltree", """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as e from embeddings
+  where vec_id is not null and embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+p as (
+  select q.vec_id as query_id, c.vec_id as vec_id,
+         list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2]))::bigint as score
+  from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from p)
+select query_id, rank::integer as rank, vec_id, score from r where rank <= 5
+""")
+def topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_balltree.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
 @query("op3_packing")
 def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
@@ -49,6 +66,11 @@ def language(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score"))
 
 
+@query("op9_cross_polytope")
+def nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_polytope.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+
+
 @query("op10_pseudonyms")
 def pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
