@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crmlake.llm import (cross_polytope, jaccard_join, language_crf, packing, pii_feistel, quality_crf,
-                         topk_balltree)
+from crmlake.llm import (bpe_segment_tree, chat_preference, cross_polytope, html_main, jaccard_join, language_crf,
+                         packing, pii_feistel, quality_crf, topk_balltree)
 from crmlake.llm.shared import crc_mod, documents, session, table
 
 QUERIES = {}
@@ -58,6 +58,22 @@ def jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join_documents(documents(spark, sf_dir))
 
 
+@query("op5_chat_preference", chat_preference.PAIRS_SQL)
+def chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations 2 k are the chosen ones of pair k, conversations 2 k + 1 the rejected ones."""
+    side = F.pmod("conv_id", F.lit(2))
+    pairs = chat_preference.sides(table(spark, sf_dir, "conversations"),
+                                  F.shiftright("conv_id", 1), side == 0)
+    text = lambda c: chat_preference.spans_text(F.col(c)).alias(c)
+    return chat_preference.format_pairs(pairs).withColumns({
+        c: text(c) for c in ("chosen_spans", "rejected_spans")})
+
+
+@query("op6_bpe_segment_tree")
+def bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_segment_tree.digests(documents(spark, sf_dir))
+
+
 @query("op7_language_words")
 def language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
@@ -66,6 +82,11 @@ def language(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score"))
 
 
+@query("op8_main_text")
+def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.extract(table(spark, sf_dir, "pages"))
+
+
 @query("op9_cross_polytope")
 def nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cross_polytope.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
