@@ -47,7 +47,7 @@ PARTS = 64
 #: Rounds of verification against hubs before what is left is paired.
 HUB_ROUNDS = 6
 #: Ids that may be broadcast to pick out the candidates' texts; more are joined by a shuffle.
-BROADCAST_IDS = 2_000_000
+BROADCAST_IDS = 50_000
 
 _FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                                    0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB,

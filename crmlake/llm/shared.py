@@ -20,6 +20,8 @@ def session(spark: SparkSession) -> SparkSession:
     """
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
+    # what is broadcast passes through the driver, and iterated joins do so again and again
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "1MB")
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = context.getConf().get("spark.checkpoint.dir", None)
