@@ -12,19 +12,12 @@ AS_OF = "2024-01-15 00:00:00"
 BEFORE = "2024-01-01 00:00:00"
 
 
-# A table below this size is dealt out to all cores: the driver tables are one row group each, so
-# a single task would read, shape and parse the whole of it. Larger tables are split by the scan.
-_SPREAD_BELOW = 1 << 30
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table; its zoneless timestamps become timestamps once, here."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    df = df.select(*[
+    return df.select(*[
         F.col(n).cast("timestamp").alias(n) if t.startswith("timestamp") else F.col(n)
         for n, t in df.dtypes])
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(spark.sparkContext.defaultParallelism) if size < _SPREAD_BELOW else df
 
 
 def iso(c: Column | str) -> Column:

@@ -1,4 +1,4 @@
-"""The nineteen tables: columns, types, maximum lengths, required columns and business keys.
+"""The nineteen tables and the one of rejected rows: columns, types, maximum lengths, required columns and business keys.
 
 ``string(n)`` is a maximum length. Spark stores a plain string; the limit is checked by
 :func:`crmlake.operators.quality.check_lengths`.
@@ -105,6 +105,8 @@ TABLES: dict[str, str] = {
         description string(2000) not null, related_object_type string(50),
         related_object_id string(50), related_object_name string(500), actor_id string(255),
         actor_name string(255), metadata string(2000), etl_date timestamp not null""",
+    "rejected": """table_name string not null, source_id string, reason string not null, raw string,
+        etl_date timestamp not null""",
 }
 
 # Business keys (all other tables use source_id).

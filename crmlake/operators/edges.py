@@ -138,6 +138,20 @@ def filter_edges(edges: DataFrame, object_type: str,
     return edges.filter(F.lower(F.col(column)) == object_type)
 
 
+def ids_in(rows: DataFrame, ids: DataFrame, column: str, id_column: str = "source_id") -> DataFrame:
+    """The rows whose id is among those of ``ids``, however often it is there; case ignored.
+
+    Ids are made distinct in the map tasks first, so a hot id is one row of the side that is joined.
+    """
+    wanted = ids.select(F.lower(id_column).alias("_key")).where(F.col("_key").isNotNull()).distinct()
+    return rows.join(wanted, F.lower(F.col(column)) == F.col("_key"), "left_semi")
+
+
+def distinct_pairs(rows: DataFrame, source: str, target: str) -> DataFrame:
+    """Each pair of ends once, pairs with a blank end left out; combined in the map tasks."""
+    return rows.filter(not_blank(source) & not_blank(target)).select(source, target).distinct()
+
+
 def filter_pairs(edges: DataFrame, source_type: str, target_type: str) -> DataFrame:
     """Object edges of one pair of types; both are partition columns of the stored table."""
     return edges.filter((F.col("source_object_type") == source_type)

@@ -155,6 +155,11 @@ def all_activities(**by_type: DataFrame) -> DataFrame:
     return first
 
 
+def without_type(activities: DataFrame, activity_type: str) -> DataFrame:
+    """All activities but those of one type, case ignored; a missing type is another one."""
+    return activities.filter(~F.upper("activity_type").eqNullSafe(activity_type.upper()))
+
+
 def details_of(df: DataFrame, activity_type: str) -> DataFrame:
     """Detail rows of one activity type, keyed by the activity's source id."""
     records = split_valid(flatten_activity_records(df, activity_type, "1970-01-01"))[0]

@@ -14,22 +14,22 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 
 def within_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS,
                      size: int = BROADCAST_BYTES) -> bool:
-    """Count a lookup side, reading no more than ``rows`` + 1 of it, and compare with the bounds."""
+    """Count a lookup side and its bytes, in the map tasks, and compare with the bounds."""
     text = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns]
     total = text[0]
     for part in text[1:]:
         total = total + part
-    seen = df.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(total).alias("b")).first()
+    seen = df.agg(F.count(F.lit(1)).alias("n"), F.sum(total).alias("b")).first()
     return seen["n"] <= rows and (seen["b"] or 0) <= size
 
 
-def lookup(df: DataFrame, dim: DataFrame, on: Column) -> DataFrame:
-    """Left join to a lookup with unique keys.
+def sized(dim: DataFrame) -> DataFrame:
+    """A lookup with unique keys, marked for broadcast if it was counted to be small.
 
-    A small lookup is broadcast and the big side does not move. A larger one is left to a
-    shuffle join, where adaptive execution splits hot keys of the left side.
+    The mark stays on what is selected from it, so a run counts a lookup once. One that is not marked
+    is left to a shuffle join, where adaptive execution splits hot keys of the left side.
     """
-    return df.join(F.broadcast(dim) if within_broadcast(dim) else dim, on, "left")
+    return F.broadcast(dim) if within_broadcast(dim) else dim
 
 
 def _named(rows: DataFrame) -> DataFrame:
@@ -79,7 +79,7 @@ def owner_label_dim(owners: DataFrame, overrides: DataFrame | None) -> DataFrame
 def resolve_label(df: DataFrame, column: str, dim: DataFrame) -> DataFrame:
     """Replace ids by labels, ignoring case; unknown and blank ids stay as they are."""
     side = dim.select(F.col("key").alias("_key"), F.col("name").alias("_name"))
-    joined = lookup(df, side, F.lower(F.col(column)) == F.col("_key"))
+    joined = df.join(side, F.lower(F.col(column)) == F.col("_key"), "left")
     return joined.withColumn(column, F.coalesce("_name", column)).drop("_key", "_name")
 
 
@@ -144,12 +144,12 @@ def enrich_contact(df: DataFrame, id_column: str, *tiers: DataFrame,
                    when: Column | None = None) -> DataFrame:
     """Fill the contact name and email of rows that refer to a contact.
 
-    Contacts can be as large as the fact side, so nothing is broadcast unless it was counted to
-    be small. Rows the lookup does not know keep a null name and email.
+    Contacts can be as large as the fact side, so they are not counted: adaptive execution broadcasts
+    them where they turn out small. Rows the lookup does not know keep a null name and email.
     """
     dim = contact_dim(*tiers)
     on = F.lower(F.col(id_column)) == F.col("key")
-    joined = lookup(df, dim, on if when is None else on & when)
+    joined = df.join(dim, on if when is None else on & when, "left")
     return joined.withColumns({name: F.col("contact_name"), email: F.col("contact_email")}).drop(
         "key", "contact_name", "contact_email")
 

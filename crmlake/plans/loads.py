@@ -6,10 +6,12 @@ import logging
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from crmlake.model.objects import ACTIVITY_SOURCES, DETAIL_TABLES
+from crmlake.model.tables import TABLES
 from crmlake.operators import edges as E, flatten, resolve
 from crmlake.operators.history import property_history
 from crmlake.operators.merge import (
@@ -41,6 +43,14 @@ class LoadFailed(Exception):
     """A critical step failed."""
 
 
+def _observed(seen: Observation) -> dict:
+    """What a pass observed. A frame known to be empty is planned away with its metrics: nothing."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return {}
+
+
 @dataclass
 class Landed:
     """The payloads of one run. Pages hold one JSON payload per row in the column ``page``.
@@ -101,17 +111,31 @@ class Context:
     stage_overrides: DataFrame | None = None
     later_contacts: DataFrame | None = None
     rejected: dict[str, DataFrame] = field(default_factory=dict)
-    watched: dict[str, Observation] = field(default_factory=dict)
+    watched: dict[str, list[Observation]] = field(default_factory=dict)
     shared: dict[str, DataFrame] = field(default_factory=dict)
 
     def watch(self, df: DataFrame, name: str, bad: Column) -> DataFrame:
         """Count the bad rows of a frame in the pass that writes the good ones."""
-        self.watched[name] = Observation()
-        return df.observe(self.watched[name], F.count_if(bad).alias("failed"))
+        seen = Observation()
+        self.watched.setdefault(name, []).append(seen)
+        return df.observe(seen, F.count_if(bad).alias("failed"))
+
+    def forget(self, name: str, keep: int = 0) -> None:
+        """Drop what is watched under a name beyond the first ``keep``: a pass that failed never ends."""
+        del self.watched.get(name, [])[keep:]
 
     def failed(self, name: str) -> int:
-        seen = self.watched.get(name)
-        return 0 if seen is None else int(seen.get.get("failed") or 0)
+        return sum(int(_observed(seen).get("failed") or 0) for seen in self.watched.get(name, ()))
+
+    def reject(self, table: str, rows: DataFrame) -> None:
+        """Keep rows that a table cannot take, with ``reject_reason``, for the table of rejected rows."""
+        source = F.col("source_id") if "source_id" in rows.columns else F.lit(None)
+        raw = F.col("raw") if "raw" in rows.columns else F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns]))
+        kept = rows.select(F.lit(table).alias("table_name"), source.cast("string").alias("source_id"),
+                           F.col("reject_reason").alias("reason"), raw.cast("string").alias("raw"),
+                           F.lit(self.as_of).cast("timestamp").alias("etl_date"))
+        known = self.rejected.get(table)
+        self.rejected[table] = kept if known is None else known.unionByName(kept)
 
     def read(self, table: str) -> DataFrame:
         if table in self.stored:
@@ -122,14 +146,20 @@ class Context:
         return df if self.tables is None else self.tables.stage(df, name)
 
     def objects(self, object_type: str) -> DataFrame:
-        return L.parse_objects(self.landed.objects[object_type], object_type)
+        """Parsed objects of one type; a type that has not landed is an empty snapshot."""
+        raw = self.landed.objects.get(object_type)
+        if raw is None:
+            raw = self.spark.createDataFrame([], "raw string, seq string")
+        return L.parse_objects(raw, object_type)
 
     def usable(self, object_type: str, watched: bool = False) -> DataFrame:
         """Usable rows of one type; the others are kept as ``rejected``."""
         rows = flatten.flatten_all(self.objects(object_type), object_type)
         if watched:
             rows = self.watch(rows, object_type, F.col("reject_reason").isNotNull())
-        ok, self.rejected[object_type] = flatten.split_valid(rows)
+        ok, bad = flatten.split_valid(rows)
+        if watched:
+            self.reject(object_type, bad)
         return ok
 
     def run_contacts(self) -> DataFrame:
@@ -144,8 +174,11 @@ class Context:
             if self.owner_overrides is None:
                 return df
             return resolve.resolve_label(df, column, resolve.label_dim(None, self.owner_overrides))
-        owners = resolve.owners_dim(L.owner_rows(self.landed.owners))
-        return resolve.resolve_owner(df, column, owners, self.owner_overrides)
+        if "owners" not in self.shared:  # made and counted once per run
+            dim = resolve.owner_label_dim(
+                resolve.owners_dim(L.owner_rows(self.landed.owners)), self.owner_overrides)
+            self.shared["owners"] = resolve.sized(self.stage(dim, "owners"))
+        return resolve.resolve_label(df, column, self.shared["owners"])
 
     def options(self, pages: DataFrame | None) -> DataFrame:
         if pages is None:
@@ -226,10 +259,10 @@ def load_contact_company_edges(ctx: Context) -> DataFrame:
     batch = ctx.landed.associations.get(("contact", "company"))
     if batch is not None:
         pairs = E.attach_edge_details(pairs, E.contact_company_details(batch))
-    pairs, ctx.rejected["contact_company_associations"] = E.split_edges(
-        pairs, ["contact_source_id", "company_source_id"])
+    table, ends = "contact_company_associations", ["contact_source_id", "company_source_id"]
+    pairs, bad = E.split_edges(ctx.watch(pairs, table, ~E.has_ends(ends)), ends)
+    ctx.reject(table, bad)
     pairs = E.attach_keys(pairs, ctx.read("contacts"), ctx.read("companies"))
-    table = "contact_company_associations"
     return upsert(table, ctx.read(table), pairs, ctx.as_of, unique=True)
 
 
@@ -250,20 +283,35 @@ def load_object_edges(ctx: Context, source: str | None = None,
         edges = empty_table(ctx.spark, table)
     ends = ["source_object_type", "source_object_id", "target_object_type", "target_object_id"]
     edges = ctx.watch(edges, table, ~E.has_ends(ends))
-    edges, ctx.rejected[table] = E.split_edges(edges, ends)
+    edges, bad = E.split_edges(edges, ends)
+    ctx.reject(table, bad)
     return upsert(table, ctx.read(table), edges, ctx.as_of, order_by=("seq", "pos"))
 
 
-def activity_records(ctx: Context) -> dict[str, DataFrame]:
-    """Records per landed activity type, each payload parsed once and kept with its edges."""
+def activity_records(ctx: Context, on_error: Callable[[str, Exception], None] | None = None) -> dict[str, DataFrame]:
+    """Records per landed activity type, each payload parsed once and kept with its edges.
+
+    A type that cannot be read is given to ``on_error`` and left out; without it the error is raised.
+    """
     records = {}
     for kind, object_type in ACTIVITY_SOURCES.items():
         if object_type not in ctx.landed.objects:
             continue
-        rows = flatten.flatten_activity_records(ctx.objects(object_type), kind, ctx.as_of)
-        rows = rows.withColumn("edges", E.edge_array(F.col("associations"))).drop("associations")
-        rows = ctx.stage(rows, f"records-{kind.lower()}")
-        records[kind], ctx.rejected[DETAIL_TABLES[kind]] = flatten.split_valid(rows)
+        seen = len(ctx.watched.get("activities", ()))
+        try:
+            rows = flatten.flatten_activity_records(ctx.objects(object_type), kind, ctx.as_of)
+            rows = rows.withColumn("edges", E.edge_array(F.col("associations"))).drop("associations")
+            if ctx.tables is not None:
+                rows = ctx.watch(rows, "activities", F.col("reject_reason").isNotNull())
+            rows = ctx.stage(rows, f"records-{kind.lower()}")
+        except Exception as error:  # noqa: BLE001 - a type may fail for any reason
+            if on_error is None:
+                raise
+            ctx.forget("activities", seen)
+            on_error(kind, error)
+            continue
+        records[kind], bad = flatten.split_valid(rows)
+        ctx.reject("activities", bad)
     return records
 
 
@@ -337,60 +385,116 @@ def _save(ctx: Context, table: str, merged: DataFrame) -> dict[str, int]:
     counts = {name: F.count_if(F.col("action") == name).alias(name)
               for name in (INSERTED, UPDATED, KEPT)}
     ctx.tables.write(merged.observe(seen, *counts.values()), table)
-    return {name: int(seen.get.get(name) or 0) for name in counts}
+    found = _observed(seen)
+    return {name: int(found.get(name) or 0) for name in counts}
 
 
-def run_full(ctx: Context, rebuild: bool = False) -> DataFrame:
-    """One full run over the stored tables. Returns one metrics row per step.
+def _text(error: Exception) -> str:
+    return str(error) or type(error).__name__
 
-    Objects come before the edges that need their ids. If contacts, companies, deals or tickets
-    fail, what the run has written is taken back and :class:`LoadFailed` is raised; any other step
-    that fails is recorded and the run goes on.
-    """
-    tables = ctx.tables
-    if rebuild:
-        tables.recreate()
-    tables.begin()
-    metrics: list[tuple] = []
 
-    def step(name: str, build: Callable[[], DataFrame], critical: bool = False) -> None:
+class _Run:
+    """The metrics of a full run, and its steps."""
+
+    def __init__(self, ctx: Context):
+        self.ctx, self.metrics = ctx, []
+
+    def note_failure(self, name: str, error: Exception) -> None:
+        log.warning("step %s failed", name, exc_info=error)
+        self.metrics.append((name, "failed", 0, 0, 0, 0, 0, _text(error)))
+
+    def step(self, name: str, build: Callable[[], DataFrame], critical: bool = False) -> None:
         try:
-            counts = _save(ctx, name, build())
-            failed = ctx.failed(name)
+            counts = _save(self.ctx, name, build())
+            failed = self.ctx.failed(name)
         except Exception as error:  # noqa: BLE001 - a step may fail for any reason
-            log.warning("step %s failed", name, exc_info=True)
+            if name != "activities":  # those were counted when they were staged
+                self.ctx.rejected.pop(name, None)
+                self.ctx.forget(name)
             if critical:
-                tables.roll_back()
+                log.warning("step %s failed", name, exc_info=True)
+                self.ctx.tables.roll_back()
                 raise LoadFailed(name) from error
-            metrics.append((name, "failed", 0, 0, 0, 0, 0, str(error)[:500]))
+            self.note_failure(name, error)
             return
         done = counts[INSERTED] + counts[UPDATED]
-        metrics.append((name, "done", done + failed, counts[INSERTED], counts[UPDATED],
-                        counts[KEPT], failed, None))
-
-    landed = ctx.landed.objects
-    for name, load in (("contacts", load_contacts), ("companies", load_companies),
-                       ("deals", load_deals), ("tickets", load_tickets)):
-        step(name, lambda load=load: load(ctx), critical=True)
-    step("contact_company_associations", lambda: load_contact_company_edges(ctx))
-    for name, load in (("communications", load_communications), ("emails", load_emails),
-                       ("notes", load_notes)):
-        if name in landed:
-            step(name, lambda load=load: load(ctx))
-    tables.begin()  # what is done so far stays, whatever follows
-    step("object_associations", lambda: load_object_edges(ctx))
-    if any(source in landed for source in ACTIVITY_SOURCES.values()):
-        records = activity_records(ctx)
-        step("activities", lambda: load_activities(ctx, records))
+        self.metrics.append((name, "done", done + failed, counts[INSERTED], counts[UPDATED],
+                             counts[KEPT], failed, None))
+
+    def activities(self) -> None:
+        """Every type alone: one that cannot be read is recorded and the others are loaded."""
+        ctx = self.ctx
+        records = activity_records(ctx, lambda kind, error: self.note_failure(DETAIL_TABLES[kind], error))
+        if not records:
+            return
+        self.step("activities", lambda: load_activities(ctx, records))
         stored = ctx.read("activities")
         for kind in records:
-            step(DETAIL_TABLES[kind], lambda kind=kind: load_details(ctx, kind, records, stored))
-        step("activity_associations", lambda: load_activity_edges(ctx, records, stored))
-    step("property_histories", lambda: load_property_history(ctx))
-    step("contact_activity_timelines", lambda: build_timeline(ctx))
-    ctx.shared.clear()
-    tables.drop_staged()
-    return ctx.spark.createDataFrame(metrics, METRICS)
+            self.step(DETAIL_TABLES[kind], lambda kind=kind: load_details(ctx, kind, records, stored))
+        self.step("activity_associations", lambda: load_activity_edges(ctx, records, stored))
+
+    def timeline(self) -> None:
+        """All families in one pass; if that fails, each alone, and those that can be made are merged."""
+        ctx, table = self.ctx, "contact_activity_timelines"
+
+        def alone() -> DataFrame:
+            made = {}
+            for name, events in timeline_families(ctx).items():
+                try:
+                    made[name] = ctx.stage(events, f"events-{name}")
+                except Exception as error:  # noqa: BLE001 - a family may fail for any reason
+                    self.note_failure(f"{table}: {name}", error)
+            return TL.timeline(made, ctx.read(table), ctx.as_of)
+
+        before = len(self.metrics)
+        self.step(table, lambda: build_timeline(ctx))
+        if self.metrics[-1][1] == "failed":
+            del self.metrics[before:]
+            self.step(table, alone)
+
+    def rejects(self) -> None:
+        """Write what this run rejected, from the steps that counted any."""
+        ctx, rows = self.ctx, empty_table(self.ctx.spark, "rejected")
+        for name, bad in ctx.rejected.items():
+            if ctx.failed(name):
+                rows = rows.unionByName(bad)
+        ctx.tables.write(rows, "rejected")
+
+
+def run_full(ctx: Context, rebuild: bool = False, keep: int = 2) -> DataFrame:
+    """One full run over the stored tables. Returns one metrics row per step.
+
+    Objects come before the edges that need their ids; a type that has not landed is an empty
+    snapshot. If contacts, companies, deals or tickets fail, what the run has written is taken back,
+    emptied tables of a rebuild included, and :class:`LoadFailed` is raised; any other step, activity
+    type or family of events that fails is recorded and the run goes on. Rejected rows are stored in
+    the table ``rejected``. ``keep`` versions of every table stay.
+    """
+    tables, run = ctx.tables, _Run(ctx)
+    tables.begin()
+    try:
+        if rebuild:
+            tables.recreate()
+        for name, load in (("contacts", load_contacts), ("companies", load_companies),
+                           ("deals", load_deals), ("tickets", load_tickets)):
+            run.step(name, lambda load=load: load(ctx), critical=True)
+        run.step("contact_company_associations", lambda: load_contact_company_edges(ctx))
+        for name, load in (("communications", load_communications), ("emails", load_emails),
+                           ("notes", load_notes)):
+            if name in ctx.landed.objects:
+                run.step(name, lambda load=load: load(ctx))
+        tables.begin()  # what is done so far stays, whatever follows
+        run.step("object_associations", lambda: load_object_edges(ctx))
+        run.activities()
+        run.step("property_histories", lambda: load_property_history(ctx))
+        run.timeline()
+        run.rejects()
+        for table in TABLES:
+            tables.prune(table, keep)
+    finally:
+        ctx.shared.clear()
+        tables.drop_staged()
+    return ctx.spark.createDataFrame(run.metrics, METRICS)
 
 
 __all__ = ["Context", "HISTORY_PROPERTIES", "Landed", "LoadFailed", "OBJECT_PAIRS",

@@ -117,8 +117,8 @@ def ticket_contacts(tickets: DataFrame, edges: DataFrame) -> DataFrame:
 def ticket_history(contacts_of_tickets: DataFrame, history: DataFrame) -> DataFrame:
     """(Tickets with contacts) with each of the ticket's stage changes."""
     stages = filter_history(history, "ticket", "hs_pipeline_stage").select(
-        F.col("object_id").alias("_ticket"), "old_value", "new_value", "change_date")
-    return contacts_of_tickets.join(stages, F.col("source_id") == F.col("_ticket")).drop("_ticket")
+        F.lower("object_id").alias("_ticket"), "old_value", "new_value", "change_date")
+    return contacts_of_tickets.join(stages, F.lower("source_id") == F.col("_ticket")).drop("_ticket")
 
 
 _FIELDS = ("contact_source_id", "event_type", "event_date", "description", "related_object_type",

@@ -7,7 +7,6 @@ read the table it is about to replace.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -17,9 +16,14 @@ from crmlake.operators.merge import empty_table, to_table
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors reach: spark.checkpoint.dir, or a scratch folder where unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder or tempfile.mkdtemp(prefix="crmlake-")
+    """A folder that all executors reach: spark.checkpoint.dir, else the warehouse."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+
+
+def _spread(df: DataFrame, table: str) -> DataFrame:
+    """Rows of a partition value together, so that a task opens files of few values; values with many
+    rows are split by adaptive execution."""
+    return df.hint("rebalance", *PARTITIONS[table]) if table in PARTITIONS else df
 
 
 class Tables:
@@ -60,7 +64,7 @@ class Tables:
         """Write a new version in one distributed job and return it as read back."""
         version = max(self._versions(table, committed=False), default=0) + 1
         self._written.append(f"{self.root}/{table}/v={version}")
-        writer = to_table(df, table).write.mode("errorifexists")
+        writer = _spread(to_table(df, table), table).write.mode("errorifexists")
         if table in PARTITIONS:
             writer = writer.partitionBy(*PARTITIONS[table])
         writer.parquet(self._written[-1])
@@ -94,6 +98,11 @@ class Tables:
             fs.delete(where, True)
         self._written = []
 
+    def remove(self) -> None:
+        """Remove all tables and everything else below the root."""
+        fs, where = self._folder(self.root)
+        fs.delete(where, True)
+
     def prune(self, table: str, keep: int = 2) -> None:
         """Remove all but the last ``keep`` committed versions."""
         for version in self._versions(table, committed=True)[:-keep]:
@@ -101,15 +110,9 @@ class Tables:
             fs.delete(where, True)
 
     def append(self, df: DataFrame, table: str) -> DataFrame:
-        """Add rows to the current version without touching the stored ones."""
-        versions = self._versions(table, committed=True)
-        if not versions:
-            return self.write(df, table)
-        writer = to_table(df, table).write.mode("append")
-        if table in PARTITIONS:
-            writer = writer.partitionBy(*PARTITIONS[table])
-        writer.parquet(f"{self.root}/{table}/v={versions[-1]}")
-        return self.read(table)
+        """A new version of the stored rows and these. A write that breaks off is never read, and
+        :meth:`roll_back` takes it back like any other."""
+        return self.write(self.read(table).unionByName(to_table(df, table)), table)
 
     def find(self, table: str, predicate: Column) -> DataFrame:
         """Filtered scan; the predicate is pushed to the parquet reader."""

@@ -12,7 +12,7 @@ from crmlake.operators import edges as E, flatten as FL, resolve as R
 from crmlake.operators.merge import surrogate_id, to_table
 from crmlake.plans import timeline as TL
 from crmlake.sources import landed as L
-from queryset.base import query, ts
+from queryset.base import kept, query, ts
 from queryset.sqlparts import (
     ACTIVITIES, ACTIVITY_COLUMNS, ACTIVITY_EDGES, CONTACTS, NOW, OWNERS, owned, with_)
 
@@ -244,15 +244,14 @@ def f2(spark, d):
     """All but e-mails; a missing type is not an e-mail."""
     rows = all_flat(spark, d).withColumn(
         "activity_type", F.when(F.col("activity_owner").cast("int") < 95, F.col("activity_type")))
-    return rows.filter(~F.col("activity_type").eqNullSafe("EMAIL")).select("source_id", "activity_type")
+    return FL.without_type(rows, "EMAIL").select("source_id", "activity_type")
 
 
 @query("f6_ids_in", with_(ACTIVITIES, ACTIVITY_EDGES) + """
 select * from activity_edges where activity_source_id in (
   select source_id from activities where activity_type = 'EMAIL')""")
 def f6(spark, d):
-    ids = flat(spark, d, "EMAIL").select(F.col("source_id").alias("activity_source_id"))
-    return edges(spark, d).select(*_EDGE).join(ids, "activity_source_id", "left_semi")
+    return E.ids_in(edges(spark, d).select(*_EDGE), flat(spark, d, "EMAIL"), "activity_source_id")
 
 
 @query("j6_enrich_source", with_(CONTACTS, ACTIVITIES) + """
@@ -275,20 +274,30 @@ def j8(spark, d):
         "activity_source_id", "associated_object_id", "activity_id")
 
 
+def staged(spark, d, kinds=KINDS):
+    """The usable records of all types in one written table, each payload parsed once."""
+    made = None
+    for k in kinds:
+        r = FL.split_valid(records(spark, d, k))[0]
+        r = r.withColumn("edges", E.edge_array(F.col("associations"))).drop("associations")
+        r = r.withColumnRenamed("detail", f"detail_{k}")
+        made = r if made is None else made.unionByName(r, allowMissingColumns=True)
+    return kept(spark, made)
+
+
 def stored(spark, d, kinds=KINDS):
     """Activities, details and edges as they stand in the tables after a load."""
     owners = R.owners_dim(L.owner_rows(X.owner_pages(spark, d)))
-    made = {k: FL.split_valid(records(spark, d, k))[0] for k in kinds}
-    rows = FL.all_activities(**{k: r.drop("detail", "associations") for k, r in made.items()})
+    made = staged(spark, d, kinds)
+    rows = made.drop("edges", *[f"detail_{k}" for k in kinds])
     rows = R.resolve_owner(rows, "activity_owner", owners, X.owner_overrides(spark, d))
     activities = to_table(FL.with_etl_date(rows, X.AS_OF), "activities")
     details = {}
-    for kind, r in made.items():
-        own = r.select("detail.*", surrogate_id(["source_id"]).alias("activity_id"))
+    for kind in kinds:
+        own = made.filter(F.col("activity_type") == kind).select(
+            f"detail_{kind}.*", surrogate_id(["source_id"]).alias("activity_id"))
         details[kind] = to_table(FL.with_etl_date(own, X.AS_OF), DETAIL_TABLES[kind])
-    links = E.activity_edges(FL.all_activities(**{
-        k: r.select("source_id", "associations", "seq") for k, r in made.items()}))
-    return activities, details, links
+    return activities, details, E.activity_edges(made.select("source_id", "edges", "seq"))
 
 
 def of_contacts(spark, d, kinds=KINDS):

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from crmlake.session import configure
+from crmlake.sources.tables import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,6 +46,13 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def kept(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """The rows written below the shared folder, once, and read from there."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(f"{shared_folder(spark)}/checkpoints")
+    return df.checkpoint()
+
+
 def ts(expression: str) -> str:
     """DuckDB text of a timestamp, as :func:`plain` writes it."""
     return f"strftime({expression}, '%Y-%m-%d %H:%M:%S.%f')"

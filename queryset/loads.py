@@ -276,7 +276,8 @@ _COUNTS = "\nunion all ".join(f"select '{step}' as step, ({sql}) as n" for step,
 @query("r13_run_full", with_(ACTIVITIES, ACTIVITY_EDGES, HISTORY) + f"""
 select step, 'done' as outcome, n as total, n as inserted, 0 as updated, 0 as kept, 0 as failed
 from ({_COUNTS})""")
-def r13(spark, d):
+@Q.in_store
+def r13(spark, d, store):
     """A first full run into empty tables: one metrics row per step."""
     objects = activity_objects(spark, d) | {
         "contacts": X.contacts(spark, d), "companies": X.companies(spark, d),
@@ -288,20 +289,98 @@ def r13(spark, d):
                       ("contact", "ticket"): X.contact_ticket_pages(spark, d)},
         history={"deal": X.deal_history_pages(spark, d), "ticket": X.ticket_history_pages(spark, d)},
         pipelines=X.pipeline_pages(spark, d), stages=X.stage_pages(spark, d))
-    ctx.tables = Q._store(spark)
+    ctx.tables = store
     return LD.run_full(ctx).drop("message")
 
 
+def _two_runs(spark, d, store):
+    """A first run over customers and suppliers, then one over unclean contacts alone."""
+    first = context(spark, d, objects={"contacts": X.contacts(spark, d), "companies": X.companies(spark, d)})
+    first.tables = store
+    LD.run_full(first)
+    second = context(spark, d, objects={"contacts": X.unclean_contacts(spark, d)})
+    second.tables = store
+    return LD.run_full(second).drop("message")
+
+
+_GOOD = "c_acctbal >= 1000 and c_acctbal <= 8000"
+
+
+@query("r13_second_run", f"""
+select 'contacts' as step, 'done' as outcome, count(*) as total, 0 as inserted,
+       count(*) filter ({_GOOD}) as updated, count(*) filter (not ({_GOOD})) as kept,
+       count(*) filter (not ({_GOOD})) as failed from customer
+union all select 'companies', 'done', 0, 0, 0, count(*), 0 from supplier
+union all select 'contact_company_associations', 'done', 0, 0, 0, count(*), 0 from customer
+union all select x, 'done', 0, 0, 0, 0, 0 from unnest(['deals', 'tickets', 'object_associations',
+       'property_histories', 'contact_activity_timelines']) as t(x)""")
+@Q.in_store
+def r13_second(spark, d, store):
+    """Updated, kept and rejected rows of a run into filled tables; absent types are empty snapshots."""
+    return _two_runs(spark, d, store)
+
+
+@query("p22_rejected_table", """
+select * from (
+  select 'contacts' as table_name, case when c_acctbal < 1000 then 'wrong type: phone'
+         when c_acctbal > 9000 then 'missing id' else 'missing properties' end as reason,
+         count(*) as rows, count(*) as with_raw
+  from customer where c_acctbal < 1000 or c_acctbal > 8000 group by all)""")
+@Q.in_store
+def p22_rejected(spark, d, store):
+    """What a run could not use, with the reason and the payload, as stored."""
+    _two_runs(spark, d, store)
+    return store.read("rejected").groupBy("table_name", "reason").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("raw").alias("with_raw"))
+
+
 @query("k6_rebuild", """
-select 'supplier' as step, count(*) as rows_before, 0 as rows_after from supplier""")
-def k6(spark, d):
-    """Rebuild starts from empty tables whatever was stored."""
-    store = Q._store(spark)
-    filled = store.write(X.table(spark, d, "supplier").select(F.col("s_suppkey").alias("id")),
-                         "companies")
-    store.recreate("companies")
-    after = store.read("companies")
-    both = filled.select(F.lit(1).alias("b"), F.lit(0).alias("a")).unionByName(
-        after.select(F.lit(0).alias("b"), F.lit(1).alias("a")))
-    return both.agg(F.lit("supplier").alias("step"), F.sum("b").alias("rows_before"),
-                    F.sum("a").alias("rows_after"))
+select 'companies' as step, count(*) as rows_before, 0 as rows_after from supplier
+union all select 'contacts', 0, count(*) from customer""")
+@Q.in_store
+def k6(spark, d, store):
+    """A rebuild starts from empty tables: what is not in its snapshots is gone."""
+    store.write(X.table(spark, d, "supplier").select(F.col("s_suppkey").alias("id")), "companies")
+    count = lambda name: store.read(name).count()
+    before = {name: count(name) for name in ("companies", "contacts")}
+    ctx = context(spark, d, objects={"contacts": X.contacts(spark, d)})
+    ctx.tables = store
+    LD.run_full(ctx, rebuild=True)
+    return spark.createDataFrame([(n, before[n], count(n)) for n in before],
+                                 "step string, rows_before long, rows_after long")
+
+
+@query("s1_landed_files", """
+select 'contacts' as what, count(*) as rows, count(distinct c_custkey) as ids,
+       sum(c_custkey) as id_sum from customer
+union all select 'deals', count(*), count(distinct o_orderkey), sum(o_orderkey) from orders
+union all select 'deal history', 5 * count(*), count(*), 5 * sum(o_orderkey) from orders""")
+@Q.in_store
+def s1_files(spark, d, store):
+    """Payload pages of whole tables landed as files, repeated ids included, and read back.
+
+    Contacts lie in two files' worth of pages; the ones that come later win, so each id is there once
+    after :func:`keep_last`.
+    """
+    from crmlake.operators.history import property_history
+    from crmlake.operators.ordered import keep_last
+    from crmlake.sources import landed as L
+    root = f"{store.root}/landing"
+
+    def page(raw):
+        return raw.select(F.concat(F.lit('{"results":['), "raw", F.lit("]}")).alias("value"))
+
+    contacts = page(X.contacts(spark, d))
+    contacts.unionAll(contacts).write.text(f"{root}/objects/contacts")
+    page(X.deals(spark, d)).write.text(f"{root}/objects/deals")
+    X.deal_history_pages(spark, d).select("page").write.text(f"{root}/history/deal")
+    landed = LD.Landed.below(spark, root)
+
+    def summed(rows, what, key):
+        return rows.agg(F.lit(what).alias("what"), F.count(F.lit(1)).alias("rows"),
+                        F.count_distinct(key).alias("ids"), F.sum(F.col(key).cast("long")).alias("id_sum"))
+
+    ids = lambda t: L.parse_objects(landed.objects[t], t).select("id", "seq")
+    history = L.history_payloads(landed.history["deal"], "deal").select("object_id", F.explode("items"))
+    return summed(keep_last(ids("contacts"), ["id"], "seq"), "contacts", "id").unionByName(
+        summed(ids("deals"), "deals", "id")).unionByName(summed(history, "deal history", "object_id"))

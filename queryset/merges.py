@@ -297,7 +297,8 @@ def a6(spark, d):
 
 @query("a8_distinct", "select distinct l_orderkey, l_suppkey from lineitem")
 def a8(spark, d):
-    return X.table(spark, d, "lineitem").select("l_orderkey", "l_suppkey").distinct()
+    from crmlake.operators.edges import distinct_pairs
+    return distinct_pairs(X.table(spark, d, "lineitem"), "l_orderkey", "l_suppkey")
 
 
 @query("x2_union_events", """

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from crmlake import fixtures as X
@@ -12,7 +14,7 @@ from crmlake.plans import views as VW
 from crmlake.sources import landed as L
 from crmlake.sources import tables as ST
 from queryset.activities import stored
-from queryset.base import query, ts
+from queryset.base import kept, query, ts
 from queryset.sqlparts import ACTIVITIES, CONTACTS, DEALS, OWNERS, owned, with_
 
 
@@ -85,15 +87,26 @@ def v2(spark, d):
 
 
 def _store(spark):
-    return ST.Tables(spark, ST.shared_folder(spark) + f"/tables-{spark.sparkContext.startTime}-"
-                     + spark.range(1).select(F.expr("uuid()")).first()[0])
+    return ST.Tables(spark, f"{ST.shared_folder(spark)}/tables-{uuid.uuid4().hex}")
+
+
+def in_store(build):
+    """A query over a store of its own: its rows are kept apart, and the store is removed."""
+    def run(spark, d):
+        store = _store(spark)
+        try:
+            return kept(spark, build(spark, d, store))
+        finally:
+            store.remove()
+
+    return run
 
 
 @query("k4_write_table", with_(DEALS) + """
 select deal_id, source_id, amount from (select o_orderkey as deal_id, source_id, amount from deals)""")
-def k4(spark, d):
+@in_store
+def k4(spark, d, store):
     """Deals written as a table and read back."""
-    store = _store(spark)
     store.write(_deals(spark, d), "deals")
     return store.read("deals").select(F.col("id").alias("deal_id"), "source_id", "amount")
 
@@ -101,8 +114,8 @@ def k4(spark, d):
 @query("k1_append", """
 select c_custkey as id, c_name as full_name from customer
 union all select -1 - s_suppkey, s_name from supplier""")
-def k1(spark, d):
-    store = _store(spark)
+@in_store
+def k1(spark, d, store):
     store.append(X.table(spark, d, "customer").select(
         F.col("c_custkey").alias("id"), F.col("c_name").alias("full_name")), "contacts")
     rows = store.append(X.table(spark, d, "supplier").select(
@@ -113,16 +126,16 @@ def k1(spark, d):
 @query("s12_read_table", with_(OWNERS, ACTIVITIES) + f"""
 select x.source_id, x.activity_type, {owned('activity_owner')} as activity_owner
 from activities x left join owner_names o on o.key = x.activity_owner""")
-def s12(spark, d):
-    store = _store(spark)
+@in_store
+def s12(spark, d, store):
     ST.write_table(stored(spark, d)[0], store.root, "activities")
     return ST.read_table(spark, store.root, "activities").select("source_id", "activity_type",
                                                                  "activity_owner")
 
 
 @query("s13_point_lookup", "select o_orderkey as id, o_orderpriority as pipeline from orders where o_orderkey = 21")
-def s13(spark, d):
-    store = _store(spark)
+@in_store
+def s13(spark, d, store):
     store.write(X.table(spark, d, "orders").select(
         F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("pipeline")), "deals")
     return store.get("deals", 21).select("id", "pipeline")
@@ -130,8 +143,8 @@ def s13(spark, d):
 
 @query("s13_filtered_scan", """
 select c_custkey as id, c_mktsegment as lifecycle_stage from customer where c_mktsegment = 'BUILDING'""")
-def s13b(spark, d):
-    store = _store(spark)
+@in_store
+def s13b(spark, d, store):
     store.write(X.table(spark, d, "customer").select(
         F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("lifecycle_stage")), "contacts")
     return store.find("contacts", F.col("lifecycle_stage") == "BUILDING").select("id", "lifecycle_stage")
@@ -139,9 +152,9 @@ def s13b(spark, d):
 
 @query("m3_recreate_table", """
 select count(*) as before, 0 as after from supplier""")
-def m3(spark, d):
+@in_store
+def m3(spark, d, store):
     """Row counts of a table before and after it is recreated empty; the version before stays."""
-    store = _store(spark)
     filled = store.write(X.table(spark, d, "supplier").select(
         F.col("s_suppkey").alias("id")), "companies")
     empty = ST.recreate_table(spark, store.root, "companies")
@@ -152,9 +165,9 @@ def m3(spark, d):
 
 @query("k5_ensure_tables", """
 select 'companies' as table_name, count(*) as rows from supplier union all select 'deals', 0""")
-def k5(spark, d):
+@in_store
+def k5(spark, d, store):
     """A table that exists keeps its rows, a missing one is made empty."""
-    store = _store(spark)
     store.write(X.table(spark, d, "supplier").select(F.col("s_suppkey").alias("id")), "companies")
     ST.ensure_tables(spark, store.root, "companies", "deals")
     one, two = store.read("companies"), store.read("deals")
@@ -164,8 +177,8 @@ def k5(spark, d):
 
 
 @query("m4_ensure_table", "select count(*) as rows from customer")
-def m4(spark, d):
-    store = _store(spark)
+@in_store
+def m4(spark, d, store):
     store.ensure("contacts")
     store.append(X.table(spark, d, "customer").select(F.col("c_custkey").alias("id")), "contacts")
     store.ensure("contacts")

@@ -218,7 +218,7 @@ CHANGES = """
 changes as (
   select 'contact' as object_type, cast(user_id as varchar) as object_id,
          'lifecyclestage' as property_name,
-         lag(event_type) over (partition by user_id order by ts, event_type) as new_value,
+         lead(event_type) over (partition by user_id order by ts, event_type) as new_value,
          event_type as old_value, cast(ts as timestamp) as change_date,
          json_extract_string(props, '$.k') as source
   from events)"""

@@ -76,20 +76,36 @@ def test_property_history(pages):
     rows = H.property_history(df).orderBy("pos").collect()
     assert [(r["new_value"], r["old_value"]) for r in rows] == [(None, "OPEN"), ("OPEN", "NEW")]
     timed = H.property_history(df, order="time").orderBy("pos").collect()
-    assert [(r["new_value"], r["old_value"]) for r in timed] == [(None, "NEW"), ("NEW", "OPEN")]
-
-
-def test_history_of_changes_equals_a_plain_lag(spark):
+    assert [(r["new_value"], r["old_value"]) for r in timed] == [(None, "OPEN"), ("OPEN", "NEW")]
+
+
+def test_a_newest_first_list_and_single_changes_pair_alike(spark, pages):
+    values = [("d", "2024-01-09 10:00:05"), ("c", "2024-01-09 10:00:01"), ("b", "2024-01-09 03:00:00"),
+              ("a", "2024-01-02 00:00:00")]
+    items = [{"value": v, "timestamp": t.replace(" ", "T") + "Z"} for v, t in values]
+    payload = pages({"id": 7, "propertiesWithHistory": {"p": items}})
+    listed = H.property_history(L.history_payloads(payload, "contact"))
+    shuffled = pages({"id": 7, "propertiesWithHistory": {"p": items[::-1]}})
+    timed = H.property_history(L.history_payloads(shuffled, "contact"), order="time")
+    single = spark.createDataFrame([("7", v, t) for v, t in values], "object_id string, value string, t string").select(
+        "object_id", "value", F.col("t").cast("timestamp").alias("change_date"))
+    one_per_row = H.history_of_changes(single, ["object_id"])
+    want = [("a", "b"), ("b", "c"), ("c", "d"), ("d", None)]
+    for rows in (listed, timed, one_per_row):
+        assert sorted((r["old_value"], r["new_value"]) for r in rows.collect()) == want
+
+
+def test_history_of_changes_equals_a_plain_lead(spark):
     rows = [("a", f"2024-01-{day:02d} {h:02d}:00:00", f"v{(day * 7 + h) % 5}")
             for day in (1, 2, 5, 9) for h in (3, 9, 20)] + [("b", "2024-01-03 00:00:00", "x")]
     df = spark.createDataFrame(rows, "k string, t string, value string").select(
         "k", F.col("t").cast("timestamp").alias("change_date"), "value")
     got = {(r["k"], str(r["change_date"])): r["new_value"]
            for r in H.history_of_changes(df, ["k"]).collect()}
-    before, expected = {}, {}
-    for r in sorted(df.collect()):
-        expected[r["k"], str(r["change_date"])] = before.get(r["k"])
-        before[r["k"]] = r["value"]
+    after, expected = {}, {}
+    for r in sorted(df.collect(), reverse=True):
+        expected[r["k"], str(r["change_date"])] = after.get(r["k"])
+        after[r["k"]] = r["value"]
     assert got == expected
 
 

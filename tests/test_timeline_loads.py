@@ -176,6 +176,91 @@ def test_critical_and_other_failures(spark, landing, tmp_path, monkeypatch):
     assert ctx.tables._versions("contacts", committed=True) == versions
 
 
+def landing_file(landing, path, payload):
+    folder = os.path.join(landing, path)
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, "more.json"), "w") as f:
+        f.write(json.dumps(payload))
+
+
+def test_rejected_rows_are_stored_and_counted(spark, landing, tmp_path):
+    landing_file(landing, "objects/tasks", {"results": [
+        {"id": "80", "properties": {"hs_task_subject": "ok"}}, {"id": "81", "properties": {"hs_task_subject": 5}},
+        {"properties": {"hs_task_subject": "no id"}}]})
+    ctx = context(spark, landing, str(tmp_path / "t"))
+    metrics = {r["step"]: r for r in LD.run_full(ctx).collect()}
+    assert (metrics["activities"]["inserted"], metrics["activities"]["failed"]) == (2, 2)
+    rows = [tuple(r) for r in ctx.read("rejected").select("table_name", "source_id", "reason").collect()]
+    assert sorted(rows, key=str) == sorted([
+        ("activities", None, "missing id"), ("activities", "81", "wrong type: hs_task_subject"),
+        ("contacts", "3", "wrong type: email")], key=str)
+    assert ctx.read("rejected").filter("raw is null").isEmpty()
+    assert not os.listdir(tmp_path / "t" / "_staged")
+
+
+def test_an_activity_type_fails_alone(spark, landing, tmp_path, monkeypatch):
+    landing_file(landing, "objects/tasks", {"results": [{"id": "80", "properties": {}}]})
+    whole = LD.flatten.flatten_activity_records
+
+    def broken(df, kind, as_of):
+        rows = whole(df, kind, as_of)
+        return rows.withColumn("subject", F.raise_error(F.lit("bad task"))) if kind == "TASK" else rows
+
+    monkeypatch.setattr(LD.flatten, "flatten_activity_records", broken)
+    ctx = context(spark, landing, str(tmp_path / "t"))
+    got = {r["step"]: r for r in LD.run_full(ctx).collect()}
+    assert got["activity_tasks"]["outcome"] == "failed" and "bad task" in got["activity_tasks"]["message"]
+    assert got["activity_calls"]["inserted"] == 1 and got["contact_activity_timelines"]["outcome"] == "done"
+    assert not os.listdir(tmp_path / "t" / "_staged")
+
+
+def test_a_family_of_events_fails_alone(spark, landing, tmp_path, monkeypatch):
+    whole = LD.TL.ticket_created
+
+    def broken(linked):
+        return whole(linked).withColumn("description", F.raise_error(F.lit("bad ticket")).cast("string"))
+
+    monkeypatch.setattr(LD.TL, "ticket_created", broken)
+    ctx = context(spark, landing, str(tmp_path / "t"))
+    got = {r["step"]: r for r in LD.run_full(ctx).collect()}
+    assert got["contact_activity_timelines: tickets"]["outcome"] == "failed"
+    assert got["contact_activity_timelines"]["inserted"] == 2
+
+
+def test_a_failed_rebuild_keeps_what_was_stored(spark, landing, tmp_path, monkeypatch):
+    ctx = context(spark, landing, str(tmp_path / "t"))
+    LD.run_full(ctx)
+
+    def broken(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(LD, "load_tickets", broken)
+    with pytest.raises(LD.LoadFailed):
+        LD.run_full(context(spark, landing, ctx.tables.root), rebuild=True)
+    assert ctx.read("contacts").count() == 2 and ctx.read("contact_activity_timelines").count() == 3
+
+
+def test_types_that_did_not_land_are_empty(spark, tmp_path):
+    landing_file(str(tmp_path / "l"), "objects/contacts", {"results": [{"id": "1", "properties": {"firstname": "A"}}]})
+    ctx = context(spark, str(tmp_path / "l"), str(tmp_path / "t"))
+    got = {r["step"]: r for r in LD.run_full(ctx).collect()}
+    assert {r["outcome"] for r in got.values()} == {"done"}
+    assert got["contacts"]["inserted"] == 1 and got["tickets"]["total"] == 0
+
+
+def test_partitioned_writes_open_few_files(spark, tmp_path):
+    store = ST.Tables(spark, str(tmp_path / "s"))
+    rows = spark.range(0, 400, 1, 16).select(
+        F.col("id"), F.col("id").cast("string").alias("source_id"),
+        F.element_at(F.array(F.lit("CALL"), F.lit("NOTE")), (F.col("id") % 2 + 1).cast("int")).alias("activity_type"))
+    store.write(to_table(rows, "activities"), "activities")
+    files = [f for _, _, names in os.walk(tmp_path / "s") for f in names if f.endswith(".parquet")]
+    assert len(files) <= 4
+    before = store._versions("activities", committed=True)
+    store.append(to_table(rows, "activities"), "activities")
+    assert store._versions("activities", committed=True) == [*before, before[-1] + 1]
+
+
 def test_tables(spark, tmp_path):
     store = ST.Tables(spark, str(tmp_path / "s"))
     assert store.ensure("deals", "notes") == ["deals", "notes"] and store.ensure("deals") == []
