@@ -57,6 +57,7 @@ def money(*names: str) -> From:
     return From("money", names)
 
 
+# The property that fills each column.
 OBJECTS: dict[str, dict[str, From]] = {
     "contacts": {
         "email": text("email"),
@@ -132,6 +133,7 @@ _OWNER_AND_TIME = {
     "activity_date": stamp("hs_timestamp"),
 }
 
+# The property that fills each activity column.
 ACTIVITIES: dict[str, dict[str, From]] = {
     "CALL": _OWNER_AND_TIME | {"subject": text("hs_call_title"), "body": body("hs_call_body")},
     "EMAIL": _OWNER_AND_TIME | {
@@ -145,6 +147,7 @@ ACTIVITIES: dict[str, dict[str, From]] = {
         "subject": text("hs_sms_title"), "body": body("hs_sms_body", "hs_sms_text")},
 }
 
+# The property that fills each detail column.
 DETAILS: dict[str, dict[str, From]] = {
     "CALL": {
         "direction": text("hs_call_direction"),
@@ -230,6 +233,7 @@ DETAIL_TABLES = {
 }
 
 # Properties read by the status rules only.
+# Properties that decide an activity's status.
 STATUS_PROPERTIES = {
     "TASK": ("hs_task_status", "hs_task_completion_timestamp", "hs_task_is_overdue",
              "hs_task_due_date", "hs_task_start_date"),

@@ -92,16 +92,19 @@ def split_edges(df: DataFrame, required: list[str]) -> tuple[DataFrame, DataFram
         F.col("reject_reason").isNotNull())
 
 
+def _embedded(objects: DataFrame, target: str) -> DataFrame:
+    """Objects with the ids they are associated with: id, ids (not empty), seq."""
+    found = F.try_element_at("associations", F.lit(target)).getField("results")
+    ids = F.filter(F.transform(found, lambda r: object_id(r["id"])), lambda x: not_blank(x))
+    return objects.select("id", ids.alias("ids"), "seq").filter(not_blank("id") & (F.size("ids") > 0))
+
+
 def embedded_edges(objects: DataFrame, target: str = "companies") -> DataFrame:
     """Pairs from the associations inside the object payload: source_id, target_id.
 
     Of repeated objects the last that has any pair counts, as for any keyed list of the run.
     """
-    found = F.try_element_at("associations", F.lit(target)).getField("results")
-    ids = F.filter(F.transform(found, lambda r: object_id(r["id"])), lambda x: not_blank(x))
-    rows = objects.select("id", ids.alias("ids"), "seq").filter(
-        not_blank("id") & (F.size("ids") > 0))
-    kept = keep_last(rows, ["id"], "seq")
+    kept = keep_last(_embedded(objects, target), ["id"], "seq")
     return kept.select(F.col("id").alias("source_id"), F.explode("ids").alias("target_id")).distinct()
 
 
@@ -174,9 +177,41 @@ def reverse_edges(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("contact_source_id"), F.col("company_source_id")).distinct()
 
 
-def edges_or_reverse(forward: DataFrame, reverse: DataFrame) -> DataFrame:
-    """The forward edges, or the reverse edges when there is not one forward edge."""
-    return reverse_edges(reverse) if forward.isEmpty() else forward
+def edges_or_reverse(forward: DataFrame, reverse: DataFrame, present: bool | None = None) -> DataFrame:
+    """The forward edges, or the reverse edges when there is not one forward edge.
+
+    ``present`` says whether there is one, where the caller knows it from narrower rows.
+    """
+    if present is None:
+        present = not forward.isEmpty()
+    return forward if present else reverse_edges(reverse)
+
+
+def any_contact_company(batch: DataFrame | None, contacts: DataFrame | None) -> bool:
+    """Whether an association batch or a parsed contact holds a pair: scans that stop at the first."""
+    if batch is not None and not _both_ends(association_items(batch).select(
+            "from_id", target_id(F.col("to")).alias("to_id"))).isEmpty():
+        return True
+    return contacts is not None and not _embedded(contacts, "companies").isEmpty()
+
+
+def all_contact_company(batch: DataFrame | None, contacts: DataFrame | None) -> DataFrame | None:
+    """Pairs of both sources, each once, with the details the batch lists first for it.
+
+    The batch is parsed once for pairs and details, and one aggregate makes pairs unique.
+    """
+    parts = []
+    if batch is not None:
+        parts.append(contact_company_details(batch).withColumn("_from", F.lit(0)))
+    if contacts is not None:
+        found = embedded_edges(contacts, "companies").select(
+            F.col("source_id").alias("contact_source_id"), F.col("target_id").alias("company_source_id"))
+        parts.append(found.withColumn("_from", F.lit(1)))
+    if not parts:
+        return None
+    both = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
+    order = [c for c in ("_from", "seq", "pos") if c in both.columns]
+    return keep_first(both, _PAIR, order).drop(*order)
 
 
 def attach_edge_details(edges: DataFrame, details: DataFrame) -> DataFrame:

@@ -252,13 +252,14 @@ def contact_company_diagnostics(ctx: Context) -> DataFrame:
 
 
 def load_contact_company_edges(ctx: Context) -> DataFrame:
-    found = _pairs_of_run(ctx)
-    pairs = E.union_edges(found["batch"], found["embedded"])
-    if ctx.landed.reverse is not None:
-        pairs = E.edges_or_reverse(pairs, E.company_contact_edges(ctx.landed.reverse))
     batch = ctx.landed.associations.get(("contact", "company"))
-    if batch is not None:
-        pairs = E.attach_edge_details(pairs, E.contact_company_details(batch))
+    contacts = ctx.objects("contacts") if "contacts" in ctx.landed.objects else None
+    pairs = E.all_contact_company(batch, contacts)
+    if pairs is None:
+        pairs = ctx.spark.createDataFrame([], "contact_source_id string, company_source_id string")
+    if ctx.landed.reverse is not None:
+        pairs = E.edges_or_reverse(pairs, E.company_contact_edges(ctx.landed.reverse),
+                                   E.any_contact_company(batch, contacts))
     table, ends = "contact_company_associations", ["contact_source_id", "company_source_id"]
     pairs, bad = E.split_edges(ctx.watch(pairs, table, ~E.has_ends(ends)), ends)
     ctx.reject(table, bad)

@@ -19,6 +19,8 @@ SETTINGS = {
 
 # Settings that can only be given when a session is made.
 AT_START = {
+    # checkpoints are removed when nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # recording a call site per column expression about doubles the time to state a plan
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
