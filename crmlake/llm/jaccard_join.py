@@ -46,8 +46,12 @@ CELLS = 1 << 22
 PARTS = 64
 #: Rounds of verification against hubs before what is left is paired.
 HUB_ROUNDS = 6
-#: Ids that may be broadcast to pick out the candidates' texts; more are joined by a shuffle.
+#: Rounds end when what is left is at most so many co-occurrences for each document in a list.
+LEFT_PER_DOCUMENT = 64
+#: Ids that may be broadcast; more are joined by a shuffle.
 BROADCAST_IDS = 50_000
+#: Bits of the filters that pick out shared tokens and the candidates' texts.
+FILTER_BITS = 1 << 25
 
 _FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                                    0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB,
@@ -186,9 +190,22 @@ def join_documents(docs: DataFrame, width: int = WORDS, per_cent: int = PER_CENT
                  _arrays([r[2] for r in rows])], ["doc", "n", "tokens"])
 
     written = texts.mapInArrow(prefixes, "doc long, n int, tokens array<long>").checkpoint()
-    tokens = written.select("doc", "n", F.explode("tokens").alias("token"))
+    tokens = written.select(F.explode("tokens").alias("token"))
     shared = (tokens.groupBy("token").agg(F.count("*").alias("k")).where("k > 1").select("token").checkpoint())
-    lists = tokens.join(_small(shared), "token").checkpoint()
+    in_several = spark.sparkContext.broadcast(member_filter(shared))
+
+    def probably_shared(batches):
+        for batch in batches:
+            tokens = batch.column(2)
+            flat = tokens.flatten().to_numpy(zero_copy_only=False)
+            owner = np.repeat(np.arange(batch.num_rows), tokens.value_lengths().to_numpy(zero_copy_only=False))
+            kept = passes_filter(flat, in_several.value)
+            at = pa.array(owner[kept])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(flat[kept]), batch.column(0).take(at), batch.column(1).take(at)], ["token", "doc", "n"])
+
+    lists = (written.mapInArrow(probably_shared, "token long, doc long, n int")
+             .join(_small(shared), "token", "left_semi").checkpoint())
     links = _links(texts, written, lists, levels, width, per_cent)
 
     first_of = sets.where("n > 0").join(classes, "set").select("doc_id", "first").where("doc_id <> first")
@@ -212,6 +229,52 @@ def join_documents(docs: DataFrame, width: int = WORDS, per_cent: int = PER_CENT
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.col("c").alias("component_id"))
 
 
+def _bits(values: np.ndarray) -> np.ndarray:
+    """The two bits of each value in a filter."""
+    values = values.view(np.uint64)
+    return np.stack([(mix(values, salt) & np.uint64(FILTER_BITS - 1)).astype(np.int64) for salt in (501, 502)])
+
+
+def member_filter(ids: DataFrame) -> np.ndarray:
+    """A Bloom filter of one column of longs, of FILTER_BITS bits whatever their number.
+
+    Bitmaps of tasks are joined part by part. Many ids fill it up, and more passes than should; what
+    passes is joined exactly afterwards or does no harm.
+    """
+    step = FILTER_BITS // PARTS
+
+    def mark(batches):
+        bits, found = np.zeros(FILTER_BITS, bool), False
+        for batch in batches:
+            if batch.num_rows:
+                bits[_bits(batch.column(0).to_numpy(zero_copy_only=False)).ravel()] = True
+                found = True
+        if found:
+            parts = [zlib.compress(np.packbits(bits[k * step:(k + 1) * step]).tobytes(), 1) for k in range(PARTS)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array(parts, pa.binary())],
+                                             ["part", "bits"])
+
+    def join(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                one = np.frombuffer(zlib.decompress(packed), np.uint8)
+                sums[part] = sums[part] | one if part in sums else one
+        packed = [zlib.compress(s.tobytes(), 1) for s in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(packed, pa.binary())], ["part", "bits"])
+
+    schema = "part int, bits binary"
+    out = np.zeros((PARTS, step // 8), np.uint8)
+    for r in ids.mapInArrow(mark, schema).repartition("part").mapInArrow(join, schema).collect():
+        out[r["part"]] = np.frombuffer(zlib.decompress(r["bits"]), np.uint8)
+    return out.ravel()
+
+
+def passes_filter(values: np.ndarray, members: np.ndarray) -> np.ndarray:
+    bits = _bits(values)
+    return ((members[bits >> 3] >> (7 - (bits & 7)).astype(np.uint8)) & 1).all(0)
+
+
 def _small(ids: DataFrame) -> DataFrame:
     """``ids`` (one column of longs), marked for broadcast where they were counted to be few."""
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
@@ -240,19 +303,23 @@ def _links(texts: DataFrame, written: DataFrame, lists: DataFrame, levels, width
     count = lists.select("doc").distinct().count()
     orders = [f"p{o}" for o in range(1, ORDERS)]
 
-    def whole(batches):
-        seen: set[tuple] = set()
-        for batch in batches:
-            ids, rows = batch.column(0).to_pylist(), []
-            for k, tokens in shingle_sets(batch.column(1), width):
-                if (row := (ids[k], digest(tokens))) in seen:  # a repeated row of this task
-                    continue
-                seen.add(row)
-                rows.append((ids[k], tokens, [prefix(tokens, levels.value, o, per_cent) for o in range(1, ORDERS)]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int64()), pa.array([len(r[1]) for r in rows], pa.int32()),
-                 _arrays([r[1] for r in rows])] + [_arrays([r[2][o] for r in rows]) for o in range(ORDERS - 1)],
-                ["doc", "n", "tokens", *orders])
+    def whole(wanted):
+        def run(batches):
+            seen: set[tuple] = set()
+            for batch in batches:
+                batch = batch.filter(pa.array(passes_filter(batch.column(0).to_numpy(), wanted.value)))
+                ids, rows = batch.column(0).to_pylist(), []
+                for k, tokens in shingle_sets(batch.column(1), width):
+                    if (row := (ids[k], digest(tokens))) in seen:  # a repeated row of this task
+                        continue
+                    seen.add(row)
+                    rows.append((ids[k], tokens, [prefix(tokens, levels.value, o, per_cent) for o in range(1, ORDERS)]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r[0] for r in rows], pa.int64()), pa.array([len(r[1]) for r in rows], pa.int32()),
+                     _arrays([r[1] for r in rows])] + [_arrays([r[2][o] for r in rows]) for o in range(ORDERS - 1)],
+                    ["doc", "n", "tokens", *orders])
+
+        return run
 
     schema = "doc long, n int, tokens array<long>, " + ", ".join(f"{p} array<long>" for p in orders)
 
@@ -275,8 +342,9 @@ def _links(texts: DataFrame, written: DataFrame, lists: DataFrame, levels, width
         """
         heads = written.join(docs_of(pairs), "doc", "left_semi")
         found = passes(both(pairs, heads), "tokens").select("a", "b").distinct().checkpoint()
-        wanted = docs_of(found).withColumnRenamed("doc", "doc_id")
-        sets = texts.join(wanted, "doc_id", "left_semi").mapInArrow(whole, schema).checkpoint()
+        wanted = texts.sparkSession.sparkContext.broadcast(member_filter(
+            found.select("a").union(found.select("b")).distinct()))
+        sets = texts.mapInArrow(whole(wanted), schema).checkpoint()
         found = both(found, sets)
         for p in orders:
             found = passes(found, p)
@@ -301,7 +369,7 @@ def _links(texts: DataFrame, written: DataFrame, lists: DataFrame, levels, width
         per = left.groupBy("token", "of").agg(F.count("*").cast("double").alias("k"))
         rest = per.groupBy("token").agg(((F.sum("k") ** 2 - F.sum(F.col("k") ** 2)) / 2).alias("pairs"))
         total = rest.agg(F.coalesce(F.sum("pairs"), F.lit(0.0))).first()[0]
-        if total <= 4.0 * count:
+        if total <= LEFT_PER_DOCUMENT * count:
             break
     one = left.select("token", F.col("doc").alias("a"), F.col("n").alias("na"), F.col("of").alias("oa"))
     two = left.select("token", F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("of").alias("ob"))

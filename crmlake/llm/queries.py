@@ -53,7 +53,24 @@ def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
-@query("op4_jaccard_join")
+@query("op4_jaccard_join", r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') as w from documents where doc_id is not null),
+s as (
+  select doc_id, list_distinct(case when len(w) >= 5
+      then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+      when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s from w),
+x as (select doc_id, unnest(s) as x from s),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as c from x a join x b using (x) where a.doc_id < b.doc_id group by all),
+l as (
+  select a, b from p join s sa on sa.doc_id = a join s sb on sb.doc_id = b
+  where 100 * c >= 80 * (len(sa.s) + len(sb.s) - c)),
+e as (select a, b from l union select b, a from l),
+r as (select a, b from e union select r.a, e.b from r join e on r.b = e.a)
+select s.doc_id, len(s.s) as n_shingles, least(s.doc_id, coalesce(m.b, s.doc_id)) as component_id
+from s left join (select a, min(b) as b from r group by a) m on m.a = s.doc_id
+""")
 def jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join_documents(documents(spark, sf_dir))
 
