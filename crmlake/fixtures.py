@@ -424,6 +424,14 @@ def ticket_history_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         _item(F.col("p_brand"), F.lit("2024-01-02T00:00:00Z"))).alias("page"))
 
 
+def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order states as changes of a contact's lead status, one per row."""
+    return table(spark, sf_dir, "orders").select(
+        F.lit("contact").alias("object_type"), text("o_custkey").alias("object_id"),
+        F.lit("hs_lead_status").alias("property_name"), F.col("o_orderstatus").alias("value"),
+        F.col("o_orderdate").cast("timestamp").alias("change_date"), F.lit("orders").alias("source"))
+
+
 def event_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as changes of a contact's lifecycle stage, one per row."""
     return table(spark, sf_dir, "events").select(

@@ -145,19 +145,25 @@ def _table_ids(activities):
 
 
 @query("p26_attach_activity", with_(ACTIVITIES) + """
-select event_id as activity_id, subject as call_title from activities where activity_type = 'CALL'""")
+select event_id as activity_id, activity_type, case when activity_type = 'CALL' then subject end as call_title
+from activities""")
 def p26(spark, d):
-    details = FL.call_details(parsed(spark, d, "CALL"))
-    return FL.attach_activity(details, _table_ids(flat(spark, d, "CALL"))).select(
-        "activity_id", "call_title")
+    """Details of every kind with the id of their activity."""
+    stored_ids, parts = _table_ids(all_flat(spark, d)), []
+    for kind in KINDS:
+        title = F.col("call_title") if kind == "CALL" else F.lit(None).cast("string")
+        details = FL.details_of(parsed(spark, d, kind), kind)
+        parts.append(FL.attach_activity(details, stored_ids).select(
+            "activity_id", F.lit(kind).alias("activity_type"), title.alias("call_title")))
+    return TL.union_events(*parts)
 
 
 @query("p24_status_flags", with_(ACTIVITIES) + """
 select source_id, status = 'upcoming' as is_upcoming, status = 'overdue' as is_overdue,
        status = 'completed' as is_completed, status = 'due' as is_due
-from activities where activity_type = 'TASK'""")
+from activities""")
 def p24(spark, d):
-    return FL.status_flags(flat(spark, d, "TASK").select("source_id", "status")).drop("status")
+    return FL.status_flags(all_flat(spark, d).select("source_id", "status")).drop("status")
 
 
 @query("p25_is_primary", """
@@ -220,9 +226,9 @@ def e1(spark, d):
 @query("a4_first_labelled_type", with_(ACTIVITIES) + """
 select source_id, case when k < 10 then 'Main deal' else 'Later' end as label,
        case when k < 10 then 7 else 9 end as type_id, 'USER' as category
-from activities where k < 20 and activity_type = 'EMAIL'""")
+from activities where k < 20""")
 def a4(spark, d):
-    rows = E.filter_edges(E.activity_edges(records(spark, d, "EMAIL")), "deal")
+    rows = E.filter_edges(edges(spark, d), "deal")
     return rows.select(F.col("activity_source_id").alias("source_id"),
                        F.col("association_label").alias("label"),
                        F.col("association_type_id").alias("type_id"),

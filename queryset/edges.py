@@ -335,8 +335,8 @@ def t6(spark, d):
     return TL.ticket_changes(linked(spark, d), ticket_history(spark, d))
 
 
-def change_sql(event_type: str, words: str) -> str:
-    return with_(CHANGES) + f"""
+def change_sql(event_type: str, words: str, changes: str = CHANGES) -> str:
+    return with_(changes) + f"""
 select object_id as contact_source_id, '{event_type}' as event_type,
        {ts('change_date')} as event_date,
        '{words} from ' || old_value || coalesce(' to ' || new_value, '') as description,
@@ -353,9 +353,18 @@ def t7(spark, d):
     return TL.change_events(contact_history(spark, d), "lifecyclestage")
 
 
-@query("t8_lead_status_changed", change_sql("lead_status_changed", "Lead status changed"))
+_ORDER_CHANGES = """
+changes as (
+  select cast(o_custkey as varchar) as object_id, o_orderstatus as old_value,
+         lead(o_orderstatus) over (partition by o_custkey order by o_orderdate, o_orderstatus) as new_value,
+         cast(o_orderdate as timestamp) as change_date, 'orders' as source
+  from orders)"""
+
+
+@query("t8_lead_status_changed", change_sql("lead_status_changed", "Lead status changed", _ORDER_CHANGES))
 def t8(spark, d):
-    history = contact_history(spark, d).withColumn("property_name", F.lit("hs_lead_status"))
+    """Customers' order states as their lead status."""
+    history = H.history_of_changes(X.order_changes(spark, d), ["object_type", "object_id", "property_name"])
     return TL.change_events(history, "hs_lead_status")
 
 
