@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from crmlake.llm.shared import release
+
 MOST_ROUNDS = 60
 
 
@@ -20,6 +22,7 @@ def components(links: DataFrame) -> DataFrame:
              .where("a <> b").distinct().checkpoint())
     known = _sums(edges)
     for _ in range(MOST_ROUNDS):
+        release(links.sparkSession)
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = (both.where("b > a").join(least, "a")

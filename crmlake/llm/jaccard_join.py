@@ -35,14 +35,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from crmlake.llm.components import components
-from crmlake.llm.shared import with_text
+from crmlake.llm.shared import release, with_text
 from crmlake.llm.text_arrays import lower_ascii, mix, slices, span_hashes, words
 
 WORDS = 5
 PER_CENT = 80
 ORDERS = 3
 #: Counters of the frequency sketch, and the parts in which they are added up.
-CELLS = 1 << 22
+CELLS = 1 << 24
 PARTS = 64
 #: Rounds of verification against hubs before what is left is paired.
 HUB_ROUNDS = 6
@@ -149,8 +149,8 @@ def frequency_levels(profiles: DataFrame) -> np.ndarray:
                 if part in sums:
                     sums[part] += counts
                 else:
-                    sums[part] = counts.astype(np.uint64)
-        levels = [np.log2(s + 1.0).astype(np.uint8).tobytes() for s in sums.values()]
+                    sums[part] = counts.astype(np.uint64)  # one part is 1/PARTS of the counters
+        levels = [zlib.compress(np.log2(s + 1.0).astype(np.uint8).tobytes(), 1) for s in sums.values()]
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(levels, pa.binary())],
                                          ["part", "levels"])
 
@@ -158,7 +158,7 @@ def frequency_levels(profiles: DataFrame) -> np.ndarray:
             .mapInArrow(add, "part int, levels binary").collect())
     out = np.zeros((PARTS, CELLS // PARTS), np.uint8)
     for r in rows:
-        out[r["part"]] = np.frombuffer(r["levels"], np.uint8)
+        out[r["part"]] = np.frombuffer(zlib.decompress(r["levels"]), np.uint8)
     return out.ravel()
 
 
@@ -206,6 +206,7 @@ def join_documents(docs: DataFrame, width: int = WORDS, per_cent: int = PER_CENT
 
     lists = (written.mapInArrow(probably_shared, "token long, doc long, n int")
              .join(_small(shared), "token", "left_semi").checkpoint())
+    release(spark)
     links = _links(texts, written, lists, levels, width, per_cent)
 
     first_of = sets.where("n > 0").join(classes, "set").select("doc_id", "first").where("doc_id <> first")
@@ -342,6 +343,7 @@ def _links(texts: DataFrame, written: DataFrame, lists: DataFrame, levels, width
         """
         heads = written.join(docs_of(pairs), "doc", "left_semi")
         found = passes(both(pairs, heads), "tokens").select("a", "b").distinct().checkpoint()
+        release(texts.sparkSession)
         wanted = texts.sparkSession.sparkContext.broadcast(member_filter(
             found.select("a").union(found.select("b")).distinct()))
         sets = texts.mapInArrow(whole(wanted), schema).checkpoint()
@@ -354,6 +356,7 @@ def _links(texts: DataFrame, written: DataFrame, lists: DataFrame, levels, width
 
     links, left = None, lists.withColumn("of", F.col("doc"))
     for r in range(HUB_ROUNDS):
+        release(texts.sparkSession)
         if left.isEmpty():
             return links
         rank = F.col("doc") if r == 0 else F.xxhash64("doc", F.lit(r))
@@ -371,6 +374,7 @@ def _links(texts: DataFrame, written: DataFrame, lists: DataFrame, levels, width
         total = rest.agg(F.coalesce(F.sum("pairs"), F.lit(0.0))).first()[0]
         if total <= LEFT_PER_DOCUMENT * count:
             break
+    release(texts.sparkSession)
     one = left.select("token", F.col("doc").alias("a"), F.col("n").alias("na"), F.col("of").alias("oa"))
     two = left.select("token", F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("of").alias("ob"))
     pairs = (one.join(two, "token").where("a < b AND oa <> ob").where(_fits(F.col("na"), F.col("nb"), per_cent))

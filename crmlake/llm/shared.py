@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -29,6 +30,16 @@ def session(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of what was checkpointed since.
+
+    It does so when the driver collects garbage, which an iterated job of small plans hardly causes;
+    ``spark.cleaner.periodicGC.interval`` has the same purpose, by the clock.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
