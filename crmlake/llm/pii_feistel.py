@@ -5,7 +5,8 @@ two residues: each of ``ROUNDS`` rounds adds to one residue a keyed digest of th
 is a permutation, so different values stay different, and equal values get equal pseudonyms in all
 documents.
 
-    payment card   13-19 digits that pass the Luhn test; the pseudonym passes it too
+    payment card   13-19 digits that pass the Luhn test, alone or among other numbers of a run of digit
+                   groups; the pseudonym passes it too
     phone          North American numbers, and +country numbers of 8-15 digits (country code kept)
     social number  ddd-dd-dddd with a valid area, group and serial
     IPv4 address   four octets
@@ -28,8 +29,9 @@ ROUNDS = 10
 KEY = "a key that the owner of the data keeps"
 
 _EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,24}(?![A-Za-z0-9])"
+_ASSIGNED = r"(?:password|passwd|token|secret|api_key|apikey) {0,2}[=:] {0,2}[\"']?"
 _SECRET = (r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
-           r"|(?<=(?:password|passwd|token|secret|api_key|apikey) {0,2}[=:] {0,2}[\"']?)[A-Za-z0-9+/_-]{12,}+")
+           rf"|(?<={_ASSIGNED})[A-Za-z0-9+/_-]{{12,}}+")
 _IPV4 = r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9]|\.[0-9])"
 _ISO = r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])"
 _DOTTED = r"(?<![0-9.])[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}(?![0-9])"
@@ -37,9 +39,14 @@ _SLASHED = r"(?<![0-9/])[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}(?![0-9/])"
 _SOCIAL = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 _NANP = (r"(?<![0-9A-Za-z+])(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])"
          r"[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9])")
-_CARD = r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
+#: A run of digit groups one separator apart, up to the next group that starts another find. Which groups
+#: are cards is told in :func:`_cards`.
+_RUN = (r"(?<![0-9A-Za-z])(?![0-9]{20})(?=[0-9](?:[ -]?[0-9]){12})[0-9]++"
+        rf"(?:[ -](?!{'|'.join((_EMAIL, _IPV4, _ISO, _DOTTED, _SLASHED, _SOCIAL, _NANP))})[0-9]++)*+")
+#: How cards are printed: unbroken, or in groups of 4-4-4-4, 4-6-5 or 4-6-4.
+_PRINTED = r"^[ -]?(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5})$"
 _ABROAD = r"(?<![0-9A-Za-z+])\+[1-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{1,4}\)?){2,5}(?![0-9])"
-PATTERN = "|".join((_EMAIL, _SECRET, _IPV4, _ISO, _DOTTED, _SLASHED, _SOCIAL, _NANP, _CARD, _ABROAD))
+PATTERN = "|".join((_EMAIL, _SECRET, _IPV4, _ISO, _DOTTED, _SLASHED, _SOCIAL, _NANP, _RUN, _ABROAD))
 #: What a text must hold to be searched at all.
 HINT = "[0-9@]"
 
@@ -116,7 +123,61 @@ def _card(m: Column, key: str) -> Column:
         return _let(permute_digits(body, key, "card"), lambda new: _fill(m, F.concat(
             new, ((10 - _luhn_sum(F.concat(new, F.lit("0"))) % 10) % 10).cast("string"))))
 
-    return _let(_digits(m), lambda d: F.when(_luhn_sum(d) % 10 == 0, replaced(d)).otherwise(m))
+    return _let(_digits(m), replaced)
+
+
+def _is_card(m: Column) -> Column:
+    return _let(_digits(m), lambda d: F.length(d).between(13, 19) & (_luhn_sum(d) % 10 == 0))
+
+
+def _cards(m: Column, key: str) -> Column:
+    """A run of digit groups with its cards replaced, the leftmost first.
+
+    Groups as cards are printed go before other groupings, of which the longest is taken; these start with
+    an issuer's digit or the run. Work grows with the length of the run: a card is at most 19 groups.
+    """
+    def spans(parts: Column, i: Column) -> Column:
+        """[(groups, text)] of what starts at group i and has the digits of a card."""
+        near = F.transform(F.slice(parts, i, 19), lambda x: F.substring(x, 1, 21))
+        texts = F.transform(F.sequence(F.lit(1), F.size(near)), lambda k: F.struct(
+            k.alias("k"), F.array_join(F.slice(near, F.lit(1), k), "").alias("text")))
+        return F.filter(texts, lambda x: (F.length(x["text"]) <= 38) & _is_card(x["text"]))
+
+    def most(found: Column) -> Column:
+        return F.coalesce(F.array_max(F.transform(found, lambda x: x["k"])), F.lit(0))
+
+    def judged(parts: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: _let(spans(parts, i), lambda found: F.struct(
+            most(F.filter(found, lambda x: x["text"].rlike(_PRINTED))).alias("printed"),
+            F.transform(F.filter(found, lambda x: (i == 1) | x["text"].rlike("^[ -]?[2-6]")),
+                        lambda x: x["k"]).alias("other"))))
+
+    def chosen(groups: Column) -> Column:
+        """[(first, last)] of the cards; an other grouping gives way to a printed one that starts in it."""
+        printed = F.transform(groups, lambda g: g["printed"])
+
+        def step(s: Column, i: Column) -> Column:
+            g = F.element_at(groups, i)
+            other = F.coalesce(F.array_max(F.filter(g["other"], lambda k: ~F.exists(
+                F.slice(printed, i + 1, k - 1), lambda n: n > 0))), F.lit(0))
+            size = F.when(i < s["free"], 0).when(g["printed"] > 0, g["printed"]).otherwise(other)
+            return _let(size, lambda n: F.when(n == 0, s).otherwise(F.struct(
+                (i + n).alias("free"), F.concat(s["taken"], F.array(F.struct(
+                    i.alias("first"), (i + n - 1).alias("last")))).alias("taken"))))
+
+        none = F.array().cast("array<struct<first:int,last:int>>")
+        return F.aggregate(F.sequence(F.lit(1), F.size(groups)), F.struct(F.lit(1).alias("free"), none.alias("taken")),
+                           step, lambda s: s["taken"])
+
+    def written(parts: Column, taken: Column) -> Column:
+        text = lambda a, b: F.array_join(F.slice(parts, a, F.greatest(b - a + 1, F.lit(0))), "")
+        free = lambda i: F.coalesce(F.get(taken, i)["last"], F.lit(0)) + 1
+        cards = F.transform(taken, lambda t, i: F.concat(
+            text(free(i - 1), t["first"] - 1), _let(text(t["first"], t["last"]), lambda c: _card(c, key))))
+        return F.concat(F.array_join(cards, ""), text(free(F.size(taken) - 1), F.size(parts)))
+
+    return _let(F.regexp_extract_all(m, F.lit("[ -]?[0-9]+"), F.lit(0)), lambda parts: _let(
+        _let(judged(parts), chosen), lambda taken: F.when(F.size(taken) == 0, m).otherwise(written(parts, taken))))
 
 
 def _nanp(m: Column, key: str) -> Column:
@@ -193,13 +254,16 @@ def _whole(pattern: str) -> str:
     return f"^(?:{pattern})$"
 
 
-def pseudonym(m: Column, key: str = KEY) -> Column:
-    """The pseudonym of one find of :data:`PATTERN`."""
+def pseudonym(m: Column, key: str = KEY, assigned: Column | None = None) -> Column:
+    """The pseudonym of one find of :data:`PATTERN`; ``assigned`` tells that it follows a credential's key word."""
+    run = m.rlike(r"^[0-9](?:[ -]?[0-9]){12,}+$")
+    if assigned is not None:
+        run = run & (~assigned | _is_card(m))
     email = F.concat(F.lit("u"), F.substring(_digest(key, "email", F.lower(m)), 1, 16), F.lit("@example.invalid"))
     kinds = [(m.contains("@"), email), (m.rlike(_whole(_IPV4)), _ipv4(m, key)),
              (m.rlike(_whole("|".join((_ISO, _DOTTED, _SLASHED)))), _date(m, key)),
              (m.rlike(_whole(_SOCIAL)), _social(m, key)), (m.rlike(_whole(_NANP)), _nanp(m, key)),
-             (m.rlike(_whole(_CARD)), _card(m, key)), (m.rlike(_whole(_ABROAD)), _abroad(m, key))]
+             (run, _cards(m, key)), (m.rlike(_whole(_ABROAD)), _abroad(m, key))]
     out = F.when(*kinds[0])
     for condition, value in kinds[1:]:
         out = out.when(condition, value)
@@ -218,12 +282,14 @@ def pseudonymise(docs: DataFrame, text_column: str = "text", key: str = KEY,
     text = F.col(f"`{text_column}`").cast("string")
     finds, new, gaps = temporary("finds", "new", "gaps", avoid=docs.columns)
     pattern = F.lit(PATTERN)
-    searched = docs.withColumn(finds, F.when(text.rlike(HINT), F.regexp_extract_all(text, pattern, F.lit(0)))) \
-        .withColumn(new, F.transform(F.col(finds), lambda m: pseudonym(m, key)))
     has = F.size(F.col(finds)) > 0
+    assigned = lambda i: F.coalesce(F.right(F.get(F.col(gaps), i), F.lit(24)).rlike(f"{_ASSIGNED}$"), F.lit(False))
+    searched = docs.withColumn(finds, F.when(text.rlike(HINT), F.regexp_extract_all(text, pattern, F.lit(0)))) \
+        .withColumn(gaps, F.when(has, F.split(text, PATTERN, -1))) \
+        .withColumn(new, F.transform(F.col(finds), lambda m, i: pseudonym(m, key, assigned(i))))
     joined = F.array_join(F.flatten(F.transform(F.col(gaps), lambda g, i: F.array(
         g, F.coalesce(F.get(F.col(new), i), F.lit(""))))), "")
-    out = searched.withColumn(gaps, F.when(has, F.split(text, PATTERN, -1)))
+    out = searched
     changed = F.coalesce(F.size(F.filter(F.arrays_zip(F.col(finds).alias("a"), F.col(new).alias("b")),
                                          lambda z: z["a"] != z["b"])), F.lit(0))
     if count_column:

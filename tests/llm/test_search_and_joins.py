@@ -200,6 +200,29 @@ def test_pseudonyms_keep_formats_and_link_equal_values(llm):
     assert got[7][0] == f"{second[2]} {first[4]} {second[1]}"
 
 
+def test_cards_are_found_beside_other_numbers(llm):
+    got = pseudonyms(
+        llm, "4111 1111 1111 1111.", "4111 1111 1111 1111 123", "4111 1111 1111 1111 12/27", "card 4111111111111111 5 items",
+        "4111111111111111 97.51.17.173 x", "97.51.17.173 x", "order 2024 1 4111 1111 1111 1111 2024-01-02", "2024-01-02",
+        "4111-1111-1111-1111 4111111111111111 3782 822463 10005", "3782-822463-10005", "41111111 11111111 7",
+        "4111 1111 1111 1112 123", "1" * 20 + " 4111 1111 1111 1111", "password=1234-5678-9012-3456-7890",
+        "4111111111111111 123-45-6789", "123-45-6789", " ".join(["1"] * 9 + ["4111 1111 1111 1111"] * 4))
+    texts = [t for t, _ in got]
+    card = texts[0][:-1]
+    whole = card.replace(" ", "")
+    assert luhn(whole) and whole != "4" + "1" * 15
+    assert texts[1:4] == [f"{card} 123", f"{card} 12/27", f"card {whole} 5 items"]
+    assert texts[4] == f"{whole} {texts[5]}" and texts[5] != "97.51.17.173 x" and got[4][1] == 2
+    assert texts[6] == f"order 2024 1 {card} {texts[7]}"
+    amex = texts[9]
+    assert texts[8] == f"{card.replace(' ', '-')} {whole} {amex.replace('-', ' ')}" and amex != "3782-822463-10005"
+    assert texts[10] == f"{whole[:8]} {whole[8:]} 7"
+    assert texts[11:13] == ["4111 1111 1111 1112 123", "1" * 20 + f" {card}"]
+    assert re.fullmatch("password=secret[0-9a-f]{16}", texts[13])
+    assert texts[14] == f"{whole} {texts[15]}" and texts[15] != "123-45-6789"
+    assert texts[16].count(card) == 4
+
+
 def test_feistel_is_a_permutation(llm):
     pairs = llm.range(35).select((F.col("id") / 7).cast("long").alias("a"), (F.col("id") % 7).alias("b"))
     out = pairs.select(P.feistel(F.col("a"), F.col("b"), F.lit(5), F.lit(7), "k", "x").alias("s")).select("s.a", "s.b").collect()
