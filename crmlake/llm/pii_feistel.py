@@ -13,7 +13,7 @@ documents.
     date           yyyy-mm-dd, dd.mm.yyyy, mm/dd/yyyy or dd/mm/yyyy from 1900-01-01 to 2100-06-16
 
 E-mail addresses and credentials (access key ids, values assigned to a password, token, secret or API
-key) have no numeric format; they get a keyed digest of a fixed shape, which also links equal values.
+key, its name in any case) have no numeric format; they get a keyed digest of a fixed shape, which also links equal values.
 Digits that fail the validation are left as they are.
 
 Defined cases: a null text stays null, an empty one empty; a text without a find is returned as it
@@ -29,7 +29,7 @@ ROUNDS = 10
 KEY = "a key that the owner of the data keeps"
 
 _EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,24}(?![A-Za-z0-9])"
-_ASSIGNED = r"(?:password|passwd|token|secret|api_key|apikey) {0,2}[=:] {0,2}[\"']?"
+_ASSIGNED = r"(?i:password|passwd|token|secret|api_key|apikey) {0,2}[=:] {0,2}[\"']?"
 _SECRET = (r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
            rf"|(?<={_ASSIGNED})[A-Za-z0-9+/_-]{{12,}}+")
 _IPV4 = r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9]|\.[0-9])"
@@ -48,7 +48,7 @@ _PRINTED = r"^[ -]?(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]
 _ABROAD = r"(?<![0-9A-Za-z+])\+[1-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{1,4}\)?){2,5}(?![0-9])"
 PATTERN = "|".join((_EMAIL, _SECRET, _IPV4, _ISO, _DOTTED, _SLASHED, _SOCIAL, _NANP, _RUN, _ABROAD))
 #: What a text must hold to be searched at all.
-HINT = "[0-9@]"
+HINT = "[0-9@]|AKIA|(?i:password|passwd|token|secret|api_key|apikey)"
 
 _FIRST_DAY = "1900-01-01"
 _DAYS = (256, 286)
