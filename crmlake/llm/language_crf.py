@@ -7,7 +7,8 @@ Forward-backward over all words of a text gives each word's probabilities; their
 letters, decides the text's language.
 
 The model is fitted on a bounded sample of the labelled texts (``SAMPLE_PER_LANGUAGE`` texts,
-``SPANS_PER_TEXT`` spans of ``SPAN_WORDS`` words from anywhere in the text). Prediction reads whole
+fewer of each where there are many languages, ``SPANS_PER_TEXT`` spans of ``SPAN_WORDS`` words from
+anywhere in the text). Every language is learned. Prediction reads whole
 texts; its tables only remember what was worked out before.
 
 Defined cases: text null, empty or without a letter is ``und`` with score 0; a word without letters
@@ -31,8 +32,8 @@ from crmlake.llm.text_arrays import Known, mix, slices, span_hashes, words
 SAMPLE_PER_LANGUAGE = 240
 SPANS_PER_TEXT = 2
 SPAN_WORDS = 60
-#: Most languages that are learned; the sample is at most this many times the one of a language.
-MOST_LANGUAGES = 64
+#: Words of the sample times languages, about: with more languages each has fewer texts, but at least one.
+SAMPLE_CELLS = 16_000_000
 NGRAM_CELLS = 1 << 16
 LEXICON_WORDS = 1 << 15
 LEXICON_LEAST = 3
@@ -160,22 +161,22 @@ def learn(labelled: DataFrame, id_column: str = "doc_id", text_column: str = "te
     """A model from the rows with text and language, from a sample of ``per_language`` rows each.
 
     Two narrow passes: rows per language are counted, then rows whose hashed id is below the share
-    that gives the sample; a limit bounds it also where ids repeat.
+    that gives the sample, the row of the lowest hash always; a limit bounds it also where ids repeat.
     """
     from pyspark.sql.types import StringType, StructField, StructType
 
     rows = labelled.select(F.col(f"`{id_column}`").cast("string").alias("id"),
                            F.col(f"`{text_column}`").cast("string").alias("text"),
                            F.col(f"`{language_column}`").cast("string").alias("lang"))
-    rows = rows.where("text IS NOT NULL AND lang IS NOT NULL")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    rows = rows.where("text IS NOT NULL AND lang IS NOT NULL").where(F.col("text").rlike(r"[^\s]"))
+    u = F.pmod(F.xxhash64(F.coalesce("id", "text")), F.lit(1 << 30)) / float(1 << 30)
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("count"), F.min(u).alias("lowest")).collect()
     if not counts:
         return None
-    below = F.lit(None).cast("double")
-    for r in counts:
-        below = F.when(F.col("lang") == r["lang"], F.lit(per_language / r["count"])).otherwise(below)
-    u = F.pmod(F.xxhash64(F.coalesce("id", F.lit(""))), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.where(u < below)
+    each = max(1, min(per_language, SAMPLE_CELLS // (SPANS_PER_TEXT * SPAN_WORDS * len(counts) ** 2)))
+    shares = labelled.sparkSession.createDataFrame(
+        [(r["lang"], max(each / r["count"], r["lowest"])) for r in counts], "lang string, share double")
+    sample = rows.join(F.broadcast(shares), "lang").where(u <= F.col("share"))
     schema = StructType([StructField("lang", StringType()), StructField("span", StringType())])
 
     def cut(batches):
@@ -185,9 +186,9 @@ def learn(labelled: DataFrame, id_column: str = "doc_id", text_column: str = "te
             yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.string()) for k in (0, 1)],
                                              ["lang", "span"])
 
-    most = 2 * SPANS_PER_TEXT * per_language * len(counts)
+    most = 2 * SPANS_PER_TEXT * (each + 1) * len(counts)
     spans = (sample.select(F.hash("id", "text").cast("long").alias("key"), "text", "lang")
-             .mapInArrow(cut, schema).limit(most).collect())
+             .mapInArrow(cut, schema).distinct().limit(most).collect())
     return train([(r["lang"], r["span"]) for r in spans])
 
 

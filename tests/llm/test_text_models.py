@@ -136,6 +136,23 @@ def test_language_of_words_and_texts(docs):
     assert L.learn(labelled.where("doc_id < 0")) is None
 
 
+def test_every_language_is_learned(docs, monkeypatch):
+    names = [f"l{k:02d}" for k in range(70)]
+    letters = random.Random(8)
+    lexicon = {n: ["".join(letters.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(6)] for n in names}
+    texts = [" ".join(lexicon[n] * 4) for n in names for _ in range(1 if n == "l69" else 3)]
+    of = [n for n in names for _ in range(1 if n == "l69" else 3)]
+    rows = docs(*texts, " ", ids=[*range(len(texts)), None])
+    labelled = rows.withColumn("lang", F.element_at(F.array(*[F.lit(n) for n in (*of, "blank")]), F.coalesce(
+        F.col("doc_id") + 1, F.lit(len(of) + 1)).cast("int")))
+    for cells in (L.SAMPLE_CELLS, 1):
+        monkeypatch.setattr(L, "SAMPLE_CELLS", cells)
+        model = L.learn(labelled)
+        assert model.languages == names
+    got = {r["doc_id"]: r["lang_pred"] for r in L.predict(rows, model).collect()}
+    assert [got[i] for i in range(len(of))] == of
+
+
 @pytest.fixture(scope="module")
 def coder():
     import public_tokenizers
