@@ -66,6 +66,30 @@ def sides(turns: DataFrame, pair: Column, chosen: Column, turn_column: str = "tu
     return both.select("pair_id", present("chosen"), present("rejected"))
 
 
+def with_other_reply(turns: DataFrame, id_column: str = "conv_id") -> DataFrame:
+    """(pair_id, chosen, rejected) of every conversation: itself, and the same turns with its last assistant
+    turn replaced by the last one of conversation id + 1, or of id - 1 where the next has none.
+
+    Rejected is null without an assistant turn or without such a neighbour. One more shuffle by id, which
+    moves a conversation once and its last reply twice.
+    """
+    trained = lambda t: t["role"].isin(*TRAINED)
+    whole = sides(turns, F.col(f"`{id_column}`"), F.lit(True)).select("pair_id", F.col("chosen").alias("turns"))
+    last = F.array_max(F.transform(F.col("turns"), lambda t, i: F.when(trained(t), i)))
+    own = whole.withColumn("last", last).withColumn("reply", F.get("turns", F.col("last"))["text"])
+    none, no_turns = F.lit(None).cast("string"), F.lit(None).cast(whole.schema["turns"].dataType)
+    row = lambda i, t, n, p: F.struct(i.alias("pair_id"), t.alias("turns"), n.alias("next"), p.alias("previous"))
+    id_, reply = F.col("pair_id"), F.col("reply")
+    sent = own.select(F.inline(F.array(row(id_, F.col("turns"), none, none), row(id_ - 1, no_turns, reply, none),
+                                       row(id_ + 1, no_turns, none, reply))))
+    met = sent.groupBy("pair_id").agg(*[F.first(c, ignorenulls=True).alias(c) for c in ("turns", "next", "previous")])
+    met = met.where("turns IS NOT NULL").withColumn("last", last).withColumn("other", F.coalesce("next", "previous"))
+    replaced = F.transform(F.col("turns"), lambda t, i: F.struct(
+        t["role"].alias("role"), F.when(i == F.col("last"), F.col("other")).otherwise(t["text"]).alias("text")))
+    return met.select("pair_id", F.col("turns").alias("chosen"), F.when(
+        F.col("last").isNotNull() & F.col("other").isNotNull(), replaced).alias("rejected"))
+
+
 def format_pairs(pairs: DataFrame) -> DataFrame:
     """pair_id, n_common, prompt, chosen, rejected, chosen_spans, rejected_spans of turn arrays."""
     n = F.coalesce(common_turns(F.col("chosen"), F.col("rejected")), F.lit(0))
@@ -113,3 +137,22 @@ select pair_id, n::integer as n_common, coalesce(c.head, '') as prompt, c.rest a
        c.spans as chosen_spans, j.spans as rejected_spans
 from k left join c using (pair_id) left join j using (pair_id)
 """
+
+#: The same for every conversation (chosen) and its turns with another's last reply (rejected).
+REPLIES_SQL = f"""
+with d as (
+  select distinct conv_id as pair_id, turn, coalesce(role, '') as role, coalesce(text, '') as text
+  from conversations where conv_id is not null),
+o as (select *, row_number() over (partition by pair_id order by turn nulls first, role, text) as i from d),
+y as (
+  select pair_id, max(i) as last, arg_max(text, i) as reply from o where role = 'assistant' group by pair_id),
+g as (
+  select y.pair_id, y.last, coalesce(n.reply, p.reply) as other
+  from y left join y n on n.pair_id = y.pair_id + 1 left join y p on p.pair_id = y.pair_id - 1),
+b as (
+  select pair_id, 0 as side, i, role, text from o
+  union all
+  select pair_id, 1, i, role, case when i = last then other else text end
+  from o join g using (pair_id) where other is not null),
+t as (select *, '{_HEAD}' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) as r from b),
+{PAIRS_SQL[PAIRS_SQL.index("k as ("):]}"""

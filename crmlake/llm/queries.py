@@ -86,6 +86,15 @@ def chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         c: text(c) for c in ("chosen_spans", "rejected_spans")})
 
 
+@query("op5_chat_replies", chat_preference.REPLIES_SQL)
+def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation is a chosen one; the rejected one has the last reply of a neighbour."""
+    pairs = chat_preference.with_other_reply(table(spark, sf_dir, "conversations"))
+    text = lambda c: chat_preference.spans_text(F.col(c)).alias(c)
+    return chat_preference.format_pairs(pairs).withColumns({
+        c: text(c) for c in ("chosen_spans", "rejected_spans")})
+
+
 @query("op6_bpe_segment_tree")
 def bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_segment_tree.digests(documents(spark, sf_dir))

@@ -260,6 +260,22 @@ def test_preference_pairs(llm):
     assert "Python" not in C.format_pairs(pairs)._jdf.queryExecution().executedPlan().toString()
 
 
+def test_replies_of_neighbours_make_pairs_with_a_prompt(llm):
+    turns = [(0, 0, "user", "q0"), (0, 1, "assistant", "a0"), (0, 2, "user", "thanks"),
+             (1, 0, "user", "q1"), (1, 1, "assistant", "a1"), (1, 2, "assistant", "b1"),
+             (2, 0, "user", "q2"), (2, 1, "assistant", "a2"), (2, 1, "assistant", "a2"),
+             (7, 0, "user", "q7"), (7, 1, "assistant", "a7"), (8, 0, "user", "q8"), (None, 0, "assistant", "no id")]
+    df = llm.createDataFrame(turns, "conv_id long, turn long, role string, text string").withColumn("last", F.lit("clash"))
+    got = {r["pair_id"]: r for r in C.format_pairs(C.with_other_reply(df)).collect()}
+    user, said = (lambda t: f"<|user|>\n{t}<|end|>\n"), (lambda t: f"<|assistant|>\n{t}<|end|>\n")
+    assert {i: (r["n_common"], r["prompt"], r["chosen"], r["rejected"]) for i, r in got.items()} == {
+        0: (1, user("q0"), said("a0") + user("thanks"), said("b1") + user("thanks")),
+        1: (2, user("q1") + said("a1"), said("b1"), said("a2")),
+        2: (1, user("q2"), said("a2"), said("b1")),
+        7: (0, "", user("q7") + said("a7"), None), 8: (0, "", user("q8"), None)}
+    assert "Python" not in C.format_pairs(C.with_other_reply(df))._jdf.queryExecution().executedPlan().toString()
+
+
 PAGES = {
     "<html><body><header><h1>Site</h1></header><div class='cookie-notice'>We use cookies, ok</div><div id='content'>"
     "<h1>T &amp; x</h1><div class='post'><p>Hello, world, this is &lt;b&gt; long enough text, with commas.</p>"
