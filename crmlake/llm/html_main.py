@@ -5,7 +5,9 @@ these are and the more of the block is links; an element's points are discounted
 in all its text. The element with most points is the container of the article. It is widened to the
 <article> or <main> around it, and siblings with a good part of its points, headings and long unlinked text
 beside it are kept as well. Menus, headers, footers, sidebars, notices, adverts, forms, scripts and reader comments,
-known by tag, role or by a word of their class or id, are left out before.
+known by tag, role or by a word of their class or id, are left out before. Such a word does not condemn
+an element around the page's largest article or main or, on a page without one outside such elements,
+around most of its unlinked text; it only lowers that element's points. When nothing is left, the page is scored again without the words.
 
 Pages are parsed leniently: unclosed and stray tags are allowed, a block element ends an open
 paragraph. References are decoded, white space inside a block becomes one space, blocks are joined by
@@ -51,17 +53,28 @@ DROPPED_WORDS = frozenset(
 #: Words that do not condemn the elements that hold whole pages.
 PAGE_TAGS = frozenset("html body main article".split())
 COMMENT_WORDS = frozenset("comment comments disqus reply replies respond".split())
+BESIDE_WORDS = COMMENT_WORDS | frozenset(
+    "ad ads adv advert adverts advertisement advertising adsense adslot sponsor sponsored sponsors promo promos "
+    "promotion promoted".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _SAME = {"li": "li", "dt": "dd dt", "dd": "dd dt", "tr": "tr td th", "td": "td th", "th": "td th", "option": "option"}
 _SCOPE = {"li": "ul ol menu", "dt": "dl", "dd": "dl", "tr": "table", "td": "tr table", "th": "tr table", "option": "select"}
 
 
+#: The share of a page's unlinked text that saves an element with a word of DROPPED_WORDS or with "header";
+#: one with a word of comments or adverts, which can outgrow the text; and what an article needs to save those around it.
+MOST, MOST_BESIDE, LEAST_ARTICLE = 0.5, 0.8, 0.25
+#: What a saved element keeps of its points.
+SAVED = 0.75
+
+
 class Node:
-    __slots__ = ("tag", "parent", "drop", "header", "points", "size", "linked", "order", "depth")
+    __slots__ = ("tag", "parent", "drop", "header", "points", "size", "linked", "order", "depth", "word", "titled", "factor")
 
     def __init__(self, tag: str, parent: "Node | None", drop: bool, header: bool, order: int):
         self.tag, self.parent, self.drop, self.header, self.order = tag, parent, drop, header, order
         self.points = self.size = self.linked = 0.0
+        self.word, self.titled, self.factor = 0.0, False, 1.0
         self.depth = parent.depth + 1 if parent else 0
 
 
@@ -72,33 +85,64 @@ class Block:
         self.node, self.parts, self.linked = node, [], 0
 
 
-def _judge(tag: str, attributes: str) -> tuple[bool, bool]:
-    """(left out, a header) from tag and attributes."""
-    drop, header = tag in DROPPED_TAGS, tag == "header"
+def _judge(tag: str, attributes: str) -> tuple[bool, bool, float, bool]:
+    """(left out, a header) from tag and attributes, and from words of class or id (the share of text that
+    saves it, 0 without such a word; called a header)."""
+    drop, header, word, titled = tag in DROPPED_TAGS, tag == "header", 0.0, False
     if not attributes or drop:
-        return drop, header
+        return drop, header, word, titled
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name in ("class", "id"):
             words = {w.lower() for w in _WORD.findall(value)}
-            if tag in PAGE_TAGS:
-                drop |= tag == "article" and not words.isdisjoint(COMMENT_WORDS)
-            else:
-                drop |= not words.isdisjoint(DROPPED_WORDS)
-                header |= "header" in words
+            if tag not in PAGE_TAGS and not words.isdisjoint(DROPPED_WORDS):
+                word = max(word, MOST)
+            beside = COMMENT_WORDS if tag == "article" else frozenset() if tag in PAGE_TAGS else BESIDE_WORDS
+            if not words.isdisjoint(beside):
+                word = MOST_BESIDE
+            titled |= tag not in PAGE_TAGS and "header" in words
         elif name == "role":
             drop |= value.lower() in DROPPED_ROLES
         elif name == "hidden" or name == "aria-hidden" and value.lower() == "true":
             drop = True
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             drop = True
-    return drop, header
-
-
-def blocks(page: str) -> list[Block]:
+    return drop, header, word, titled
+
+
+def _settle(nodes: list[Node], found: list[Block]) -> None:
+    """Words of class and id are weighed against the text; what they leave out is taken from nodes and blocks."""
+    text = [0] * len(nodes)
+    for b in found:
+        for node, piece, link in b.parts:
+            text[node.order] += 0 if link else len(piece.strip())
+    for node in reversed(nodes[1:]):
+        text[node.parent.order] += text[node.order]
+    saved, free, within = set(), False, [False] * len(nodes)
+    for node in nodes[1:]:
+        within[node.order] = within[node.parent.order] or node.word > 0 or node.titled
+    for tag in ("article", "main"):
+        best = max((n for n in nodes if n.tag == tag and not n.drop and not n.word), key=lambda n: (text[n.order], -n.order), default=None)
+        if best is not None and text[best.order] >= LEAST_ARTICLE * text[0] > 0:
+            saved.update(x.order for x in _up(best))
+        free |= any(n.tag == tag and not n.drop and text[n.order] > 0 and not within[n.order] for n in nodes)
+    for node in nodes[1:]:  # what is around an element comes before it
+        least = max(node.word, MOST if node.titled else 0.0)
+        keep = node.order in saved or not (free or saved) and text[node.order] > least * text[0]
+        if least and keep:
+            node.factor = SAVED
+        node.drop |= node.parent.drop or node.word > 0 and not keep
+        node.header |= node.parent.header or node.titled and not keep
+    for b in found:
+        parts = [x for x in b.parts if not x[0].drop]
+        b.parts = [piece for _, piece, _ in parts]
+        b.linked = sum(len(piece.strip()) for _, piece, link in parts if link)
+
+
+def blocks(page: str, by_words: bool = True) -> list[Block]:
     """The blocks of text of a page in order; those in parts that are left out are not among them."""
     root = Node("html", None, False, False, 0)
-    stack, links, count = [root], 0, 0
+    stack, links, nodes = [root], 0, [root]
     out: list[Block] = []
     current: Block | None = None
 
@@ -114,9 +158,7 @@ def blocks(page: str) -> list[Block]:
                 owner = owner.parent
             current = Block(owner)
             out.append(current)
-        current.parts.append(piece)
-        if links:
-            current.linked += len(piece.strip())
+        current.parts.append((stack[-1], piece, links > 0))
 
     def pop_to(k: int) -> None:
         nonlocal links
@@ -163,23 +205,30 @@ def blocks(page: str) -> list[Block]:
             end = re.compile(f"</{tag}[^>]*>", re.I).search(page, at)
             at = end.end() if end else n
             continue
-        drop, header = _judge(tag, m[3])
+        drop, header, word, titled = _judge(tag, m[3])
         parent = stack[-1]
-        count += 1
-        node = Node(tag, parent, drop or parent.drop, header or parent.header, count)
         if m[3].endswith("/") and tag in ("svg", "path", "use"):
             continue
+        node = Node(tag, parent, drop or parent.drop, header or parent.header, len(nodes))
+        if by_words:
+            node.word, node.titled = word, titled
+        nodes.append(node)
         stack.append(node)
         links += tag == "a"
     text(page[at:])
-    return out
+    _settle(nodes, out)
+    return [b for b in out if b.parts]
 
 
 def main_text(page: str | None) -> str:
     if not page:
         return ""
+    return _main_text(page, True) or _main_text(page, False)
+
+
+def _main_text(page: str, by_words: bool) -> str:
     found = []
-    for b in blocks(page):
+    for b in blocks(page, by_words):
         words = " ".join(html.unescape("".join(b.parts)).split())
         if words:
             found.append((b, words))
@@ -206,7 +255,7 @@ def main_text(page: str | None) -> str:
             level += 1
             share = 0.5 if level == 1 else 1 / (2 * level)
             node = node.parent
-    value = lambda x: x.points * (1 - min(1.0, x.linked / max(1.0, x.size)))
+    value = lambda x: x.factor * x.points * (1 - min(1.0, x.linked / max(1.0, x.size)))
     best = max(nodes.values(), key=lambda x: (round(value(x), 9), -x.depth, -x.order))
     if value(best) <= 0:
         best = min(nodes.values(), key=lambda x: x.depth)

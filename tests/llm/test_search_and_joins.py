@@ -301,6 +301,23 @@ def test_main_text(llm):
     assert H.extract(df.limit(0)).count() == 0
 
 
+def test_class_words_do_not_drop_whole_pages():
+    body = "<p>Hello, world, this is a long enough text, with commas.</p><p>And a second paragraph, with one more.</p>"
+    text = "Hello, world, this is a long enough text, with commas.\n\nAnd a second paragraph, with one more."
+    beside = "<div class='sidebar'><p>Latest news, in short.</p></div><div class='comments'><p>Nice one, thanks.</p></div>"
+    for opening in ("<div class='layout has-sidebar'>", "<div id='page' class='no-sidebar'>", "<section class='discussion'>",
+                    "<div class='has-header'>", "<div class='no-sidebar'><div class='has-header'>"):
+        assert H.main_text(f"<body>{opening}<article>{body}</article>{beside}</div></body>") == text, opening
+        assert H.main_text(f"<body>{opening}<div class='text'>{body}</div>{beside}</div></body>") == text, opening
+    assert H.main_text(f"<body><div class='comments'>{body}</div></body>") == text
+    assert H.main_text("<div class='promo'><p>Short</p></div><div class='ad'><p>Other</p></div>") == "Short\n\nOther"
+    advert = "<div class='ad'><p>An advert that is longer than all the rest, with commas.</p></div>"
+    assert H.main_text(f"<body>{advert}<article><p>Short text.</p></article></body>") == "Short text."
+    related = "<div class='related'><article><p>A teaser, of another page.</p></article></div>"
+    assert H.main_text(f"<main><article>{body}{related}</article></main>") == text
+    assert H.main_text(f"<body><div>{body.replace('paragraph', 'para<span class=ad>AD</span>graph')}</div></body>") == text
+
+
 def test_pipeline_stages_on_a_small_corpus(llm, tmp_path):
     import corpus_pipeline
 
