@@ -57,7 +57,8 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("quality", quality), ("language", language), ("near_duplicates", near_duplicates),
           ("personal_data", personal_data), ("packing", packed)]
 
-#: Trained models, tokenizers and components by links are beyond SQL; tests/llm has a brute-force version.
+#: Trained models, tokenizers and components by links are beyond SQL; tests/llm compares the near duplicates with
+#: brute force, the other stages on planted rows and sums.
 ORACLE_SQL = None
 
 
