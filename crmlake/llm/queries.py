@@ -4,14 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crmlake.llm import (bpe_segment_tree, chat_preference, cross_polytope, html_main, jaccard_join, language_crf,
-                         packing, pii_feistel, quality_crf, topk_balltree)
+from crmlake.llm import (bpe_segment_tree, chat_preference, cross_polytope, html_main, jaccard_join, language_crf, mix_cube,
+                         packing, pii_feistel, prefix_trie, quality_crf, spelling_permuterm, topk_balltree)
 from crmlake.llm.shared import crc_mod, documents, session, table
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
 
 
+def _crc32_sql(chars: str) -> str:
+    """crc32 in SQL of a list of characters up to U+00FF, as UTF-8."""
+    return f"""xor(list_reduce(list_prepend(4294967295::bigint, flatten(list_transform({chars},
+      lambda c: case when unicode(c) < 128 then [unicode(c)::bigint]
+                     else [192 + unicode(c)::bigint // 64, 128 + unicode(c)::bigint % 64] end))),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)),
+      lambda x, i: case when x % 2 = 1 then xor(x // 2, 3988292384) else x // 2 end)), 4294967295)"""
+
+
 def query(name: str, sql: str | None = None):
     def register(build):
         QUERIES[name] = lambda spark, sf_dir: build(session(spark), sf_dir)
@@ -124,6 +133,90 @@ def pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_feistel.pseudonymise(docs, count_column="n_replaced")
 
 
+@query("op11_prefix_trie", r"""
+with recursive o as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+         row_number() over (partition by conv_id order by turn nulls first,
+           sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 as pos
+  from conversations where conv_id is not null),
+c as (
+  select conv_id, conv_id - conv_id % 5 as head, {crc} % 9 as h from (select distinct conv_id from o)),
+b as (
+  select c.conv_id, 0 as part, o.pos, role, text from c join o on o.conv_id = c.head and o.pos < c.h
+  union all
+  select c.conv_id, 1, o.pos, role, text from c join o using (conv_id) where o.pos >= c.h),
+n as (
+  select *, row_number() over (partition by conv_id order by part, pos) as depth from b),
+p as (
+  select conv_id, 0 as depth, '' as key, 0 as bytes from c
+  union all
+  select p.conv_id, n.depth, sha256(p.key || strlen(n.role) || ':' || n.role || n.text), strlen(n.text)
+  from p join n on n.conv_id = p.conv_id and n.depth = p.depth + 1),
+v as (
+  select depth, key, min(conv_id) as conv_id, count(*) as n_convs, any_value(bytes) as bytes from p group by depth, key),
+u as (select v.*, q.key as parent from v left join p q on q.conv_id = v.conv_id and q.depth = v.depth - 1),
+k as (select depth - 1 as depth, parent as key, count(*) as n_children from u where depth > 0 group by all),
+x as (select u.*, coalesce(k.n_children, 0) as n_children from u left join k using (depth, key)),
+s as (
+  select p.depth, p.key, count(*) filter (where x.n_children = 0) as n_leaves,
+         sum((x.n_convs - 1) * x.bytes)::bigint as saved_tokens
+  from x join p on p.conv_id = x.conv_id and p.depth <= x.depth group by all),
+e as (
+  select depth, key, sha256(string_agg(conv_id::varchar, ',' order by conv_id)) as ends
+  from (select *, max(depth) over (partition by conv_id) as last from p) where depth = last group by all)
+select x.conv_id, x.depth::bigint as depth, y.conv_id as parent_conv_id, x.n_convs, x.n_children, s.n_leaves,
+       s.saved_tokens, coalesce(e.ends, sha256('')) as ends_sha256
+from x join s using (depth, key) left join e using (depth, key)
+left join x y on y.depth = x.depth - 1 and y.key = x.parent
+""".replace("{crc}", _crc32_sql("string_split(conv_id::varchar, '')")))
+def trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.turns(table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(*prefix_trie.with_borrowed_starts(turns))
+
+
+@query("op12_cube_mix")
+def mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (mix_cube.mix(table(spark, sf_dir, "documents"))
+            .select("doc_id", "size", "source_size", "target", "taken", "source", "copies"))
+
+
+@query("op13_spelling_permuterm", r"""
+with recursive t as (
+  select coalesce(doc_id::varchar, '') as id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) as run
+  from documents where text is not null),
+l as (
+  select id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as w, count(*) as k
+  from t where length(run) >= 7 group by all),
+h as (
+  select w, k, {crc} as h from l),
+v as (
+  select case when h % 31 = 0 then left(w, (h % length(w))::int) || substr(w, (h % length(w))::int + 2) else w end as word, k from h),
+w as (select word, sum(k)::bigint as n from v where length(word) >= 7 group by word having sum(k) >= 2),
+s as (
+  select word, n, left(word, i - 1) as head, substr(word, i + 1) as tail
+  from (select word, n, unnest(range(1, length(word) + 1)) as i from w)),
+p as (
+  select a.word, b.word as near, b.n as near_n from s a join s b using (head, tail) where a.word <> b.word
+  union
+  select s.word, w.word, w.n from s join w on w.word = s.head || s.tail
+  union
+  select w.word, s.word, s.n from s join w on w.word = s.head || s.tail),
+b as (
+  select word, count(*) as n_near, arg_min(near, {'n': -near_n, 'w': near}) as near, max(near_n) as near_n
+  from p group by word),
+f as (
+  select w.word, n, coalesce(n_near, 0) as n_near, case when near_n >= 10 * n then near end as form,
+         case when near_n >= 10 * n then near_n end as form_n from w left join b using (word)),
+r as (
+  select word, word as root, form as further from f
+  union all
+  select r.word, f.word, f.form from r join f on f.word = r.further)
+select f.word, f.form, r.root, f.n, f.n_near, f.form_n from f join r on r.word = f.word and r.further is null
+""".replace("{crc}", _crc32_sql("string_split(id || ':' || w, '')")))
+def spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_permuterm.variants(spelling_permuterm.vocabulary(table(spark, sf_dir, "documents")))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
