@@ -8,7 +8,7 @@ and of words as they are, at random in one of its two directions, until one of t
 document takes its place. This flight runs in chunks of a source; what each leaves undecided (two
 documents) is gathered by later, ever fewer flights. The landing takes what the last one leaves and a few
 documents held back, two for each power of two of a size, and picks the subset that comes nearest to the
-words that are still owed, with the number of documents rounded up or down.
+words that are still owed; a few documents more or fewer than owed may be taken for that, at a price.
 
 The order of the documents within a source is a hash of id and size; documents alike in both give alike
 rows, so reruns agree whatever the partitioning.
@@ -38,6 +38,8 @@ SEED = 20240115
 BROADCAST_SOURCES = 10_000
 #: Most documents of a source that are held back for the landing.
 HELD = 24
+#: What a document beyond the owed number costs in the landing, in documents of the mean size.
+EXTRA, EXTRA_COST = 6, 0.1
 _NEAR = 1e-9
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -172,26 +174,29 @@ def move(size: np.ndarray, prob: np.ndarray, units: np.ndarray, rng: np.random.G
 
 
 def land(size: np.ndarray, prob: np.ndarray, units: np.ndarray) -> None:
-    """Decide ``units``: of the subsets with the owed number of documents, rounded up or down, the one
-    whose words come nearest to the words owed; two halves are enumerated and matched by sorting."""
+    """Decide ``units``: the subset whose words come nearest to the words owed, in documents of the mean size,
+    plus the cost of documents beyond the owed number, rounded up or down. Two halves of the units are
+    enumerated and matched by sorting."""
     if not len(units):
         return
-    owed, number = float((prob[units] * size[units]).sum()), float(prob[units].sum())
+    owed, number, mean = float((prob[units] * size[units]).sum()), float(prob[units].sum()), float(size[units].mean())
     halves = [units[0::2], units[1::2]]
     sums, counts = [], []
     for half in halves:
         bits = (np.arange(1 << len(half))[:, None] >> np.arange(len(half))) & 1
         sums.append(bits @ size[half] if len(half) else np.zeros(1))
         counts.append(bits.sum(1) if len(half) else np.zeros(1, int))
+    least, most = math.floor(number + _NEAR), math.ceil(number - _NEAR)
     best = None
-    for total in dict.fromkeys((math.floor(number + _NEAR), math.ceil(number - _NEAR))):
+    for total in range(max(0, least - EXTRA), min(len(units), most + EXTRA) + 1):
+        price = EXTRA_COST * max(0, least - total, total - most)
         for k in range(max(0, total - len(halves[1])), min(total, len(halves[0])) + 1):
             one, two = np.flatnonzero(counts[0] == k), np.flatnonzero(counts[1] == total - k)
             two = two[np.argsort(sums[1][two], kind="stable")]
             wanted = owed - sums[0][one]
             place = np.searchsorted(sums[1][two], wanted)
             for side in (np.clip(place - 1, 0, len(two) - 1), np.clip(place, 0, len(two) - 1)):
-                off = np.abs(sums[1][two][side] - wanted)
+                off = np.abs(sums[1][two][side] - wanted) / mean + price
                 at = int(off.argmin())
                 if best is None or off[at] < best[0] - _NEAR:
                     best = (float(off[at]), int(one[at]), int(two[side[at]]))
