@@ -92,6 +92,25 @@ def unclean_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
         text("c_custkey").alias("seq"))
 
 
+def own_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contacts each with an e-mail address of its own."""
+    own = contact_properties() | {"email": F.concat(text("c_custkey"), F.lit("@example.com"))}
+    return raw_object(table(spark, sf_dir, "customer"), F.col("c_custkey"), own)
+
+
+def rule_breaking_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contacts by the last digit of their number: 1 have a name that is too long, 2 an address that the next
+    contact has, 3 are new contacts of one address, 4 a name too long and that address; the others are as before."""
+    c = table(spark, sf_dir, "customer")
+    digit, number = F.col("c_custkey") % 10, F.col("c_custkey")
+    shared = F.lit("shared@example.com")
+    own = contact_properties() | {
+        "firstname": F.when(digit.isin(1, 4), F.repeat(F.col("c_name"), F.lit(20))).otherwise(F.col("c_name")),
+        "email": F.when(digit == 2, F.concat(text(number + 1), F.lit("@example.com"))).when(digit.isin(3, 4), shared)
+        .otherwise(F.concat(text("c_custkey"), F.lit("@example.com")))}
+    return raw_object(c, F.when(digit == 3, F.concat(F.lit("new-"), F.lpad(text(number), 12, "0"))).otherwise(text(number)), own)
+
+
 def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier")
     balance = F.col("s_acctbal")

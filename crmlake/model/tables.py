@@ -136,6 +136,16 @@ PARTITIONS: dict[str, tuple[str, ...]] = {
     "contact_activity_timelines": ("event_type",),
 }
 
+# Columns whose values belong to one row only, where there is a value (beside the business keys).
+UNIQUE: dict[str, tuple[str, ...]] = {"contacts": ("email",)}
+
+# Columns that hold the id of a row of another table, where they hold anything.
+REFERENCES: dict[str, dict[str, str]] = {
+    "contact_company_associations": {"contact_id": "contacts", "company_id": "companies"},
+    "activity_associations": {"activity_id": "activities"},
+} | {f"activity_{kind}": {"activity_id": "activities"}
+     for kind in ("calls", "emails", "meetings", "notes", "sms", "tasks")}
+
 _SPARK_TYPES = {
     "bigint": T.LongType(), "int": T.IntegerType(), "string": T.StringType(),
     "timestamp": T.TimestampType(), "boolean": T.BooleanType(), "decimal": T.DecimalType(18, 2),
@@ -163,3 +173,8 @@ def lengths(table: str) -> dict[str, int]:
 
 def required(table: str) -> list[str]:
     return [n for n, _, _, flag in _parsed(table) if flag]
+
+
+def key_tells_partition(table: str) -> bool:
+    """Whether rows of one key always lie in one partition of the stored table."""
+    return table in PARTITIONS and set(PARTITIONS[table]) <= set(KEYS[table])

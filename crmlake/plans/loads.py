@@ -11,12 +11,11 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from pyspark.sql import types as T
 
 from crmlake.model.objects import ACTIVITY_SOURCES, DETAIL_TABLES
-from crmlake.model.tables import TABLES
+from crmlake.model.tables import REFERENCES, TABLES, UNIQUE, key_tells_partition
 from crmlake.operators import edges as E, flatten, resolve
 from crmlake.operators.history import property_history
-from crmlake.operators.merge import (
-    INSERTED, KEPT, UPDATED, empty_table, upsert, upsert_details)
-from crmlake.operators.quality import edge_diagnostics
+from crmlake.operators.merge import INSERTED, KEPT, UPDATED, empty_table, upsert
+from crmlake.operators.quality import edge_diagnostics, with_broken_references, with_broken_rules
 from crmlake.plans import timeline as TL
 from crmlake.sources import landed as L
 from crmlake.sources.tables import Tables
@@ -43,6 +42,18 @@ class LoadFailed(Exception):
     """A critical step failed."""
 
 
+class RulesBroken(Exception):
+    """Rows of a snapshot break rules of their table; nothing of it was written."""
+
+    def __init__(self, table: str, rows: int, example: str):
+        super().__init__(f"{table}: {rows} rows break rules, such as {example}")
+        self.table, self.rows, self.example = table, rows, example
+
+
+QUARANTINE, FAIL = "quarantine", "fail"
+ALL_EVENTS, CHANGED_EVENTS = "all", "changed"
+
+
 def _observed(seen: Observation) -> dict:
     """What a pass observed. A frame known to be empty is planned away with its metrics: nothing."""
     try:
@@ -100,6 +111,14 @@ class Context:
     """What a load needs: payloads, the stored tables, the load time and manual overrides.
 
     ``stored`` replaces the tables of that name, for loads that are not written back.
+
+    ``rules`` says what becomes of rows that break a rule of their table (required columns, lengths, unique
+    values). Without it they are loaded and the ``check_`` tables tell of them. They are set aside as rejected rows (``quarantine``), or the step fails before it
+    writes anything (``fail``). Ids of other tables come out of joins with those tables, so a load cannot
+    write one that is not there; ``check_references`` looks all the same, at the price of one more join each.
+
+    ``events`` says which events of the timeline a run makes: all, or those of activities, tickets and
+    changes that it has inserted or updated itself.
     """
 
     spark: SparkSession
@@ -110,9 +129,13 @@ class Context:
     owner_overrides: DataFrame | None = None
     stage_overrides: DataFrame | None = None
     later_contacts: DataFrame | None = None
+    rules: str | None = None
+    check_references: bool = False
+    events: str = ALL_EVENTS
     rejected: dict[str, DataFrame] = field(default_factory=dict)
     watched: dict[str, list[Observation]] = field(default_factory=dict)
     shared: dict[str, DataFrame] = field(default_factory=dict)
+    touched: dict[str, list[tuple]] = field(default_factory=dict)
 
     def watch(self, df: DataFrame, name: str, bad: Column) -> DataFrame:
         """Count the bad rows of a frame in the pass that writes the good ones."""
@@ -169,6 +192,56 @@ class Context:
             self.shared["contacts"] = self.stage(rows, "run-contacts")
         return self.shared["contacts"]
 
+    def obeying(self, rows: DataFrame, table: str, order: list[str]) -> DataFrame:
+        """Rows that keep the rules of their table; the others are set aside, or fail the step.
+
+        Rules of a row alone are looked at in the pass that writes the table. Where values have to be
+        unique, and where the step is to fail, the rows are staged first: they are read twice, or must be
+        known to be good before anything is written.
+        """
+        if self.rules is None:
+            return rows
+        failing = self.rules == FAIL and self.tables is not None
+        if UNIQUE.get(table) and self.tables is not None:
+            rows = self.stage(rows, f"new-{table}")
+        rows = with_broken_rules(rows, self.read(table), table, order, kept=self.stage)
+        if self.check_references:
+            rows = with_broken_references(rows, {
+                c: self.read(t) for c, t in REFERENCES.get(table, {}).items() if c in rows.columns})
+        bad = F.size("broken_rules") > 0
+        if failing:
+            each = Observation()
+            rows = self.stage(rows.observe(each, F.count_if(bad).alias("n"), F.first(
+                F.when(bad, F.array_join("broken_rules", ", ")), ignorenulls=True).alias("example")), f"good-{table}")
+            found = _observed(each)
+            if found.get("n"):
+                raise RulesBroken(table, int(found["n"]), found["example"])
+            return rows.drop("broken_rules")
+        rows = self.watch(rows, table, bad)
+        self.reject(table, rows.filter(bad).withColumn("reject_reason", F.array_join("broken_rules", ", ")).drop("broken_rules"))
+        return rows.filter(~bad).drop("broken_rules")
+
+    def merged(self, table: str, rows: DataFrame, order_by=("seq",), within: list[tuple] | None = None,
+               **options) -> DataFrame:
+        """Rows merged into the stored table.
+
+        Where the key tells the partition, only the partitions are read that the rows are in, and
+        :func:`_save` replaces only those. ``within`` names them where they are known beforehand;
+        otherwise the rows are staged and asked.
+        """
+        order = [c for c in order_by if c in rows.columns]
+        if within != []:  # nothing has landed: no pass will be made, and nothing may wait for its counts
+            rows = self.obeying(rows, table, order)
+        base = self.stored.get(table)
+        if base is None and self.tables is not None and key_tells_partition(table):
+            if within is None:
+                rows = self.stage(rows, f"new-{table}")
+                within = self.tables.partitions_of(rows, table)
+            if within is not None:
+                self.touched[table] = within
+                base = self.tables.read(table, within)
+        return upsert(table, self.read(table) if base is None else base, rows, self.as_of, order_by=order, **options)
+
     def owned(self, df: DataFrame, column: str) -> DataFrame:
         if self.landed.owners is None:
             if self.owner_overrides is None:
@@ -187,7 +260,7 @@ class Context:
 
 
 def _simple(ctx: Context, table: str, owner: str) -> DataFrame:
-    return upsert(table, ctx.read(table), ctx.owned(ctx.usable(table, watched=True), owner), ctx.as_of)
+    return ctx.merged(table, ctx.owned(ctx.usable(table, watched=True), owner))
 
 
 def load_contacts(ctx: Context) -> DataFrame:
@@ -207,7 +280,7 @@ def load_tickets(ctx: Context) -> DataFrame:
     rows = resolve.resolve_pipeline(rows, "pipeline", ctx.options(ctx.landed.pipelines))
     rows = resolve.resolve_stage(rows, "ticket_status", ctx.options(ctx.landed.stages),
                                  ctx.stage_overrides)
-    return upsert("tickets", ctx.read("tickets"), rows, ctx.as_of)
+    return ctx.merged("tickets", rows)
 
 
 def load_communications(ctx: Context) -> DataFrame:
@@ -217,7 +290,7 @@ def load_communications(ctx: Context) -> DataFrame:
     tiers += [ctx.read("contacts")]
     tiers += [] if ctx.later_contacts is None else [ctx.later_contacts]
     rows = resolve.enrich_contact(rows, "associated_contact_id", *tiers)
-    return upsert("communications", ctx.read("communications"), rows, ctx.as_of)
+    return ctx.merged("communications", rows)
 
 
 def load_emails(ctx: Context) -> DataFrame:
@@ -225,7 +298,7 @@ def load_emails(ctx: Context) -> DataFrame:
     rows = ctx.owned(ctx.usable("emails", watched=True), "activity_assigned_to")
     if "contacts" in ctx.landed.objects:
         rows = resolve.enrich_contact(rows, "associated_contact_id", ctx.run_contacts())
-    return upsert("emails", ctx.read("emails"), rows, ctx.as_of)
+    return ctx.merged("emails", rows)
 
 
 def load_notes(ctx: Context) -> DataFrame:
@@ -264,7 +337,7 @@ def load_contact_company_edges(ctx: Context) -> DataFrame:
     pairs, bad = E.split_edges(ctx.watch(pairs, table, ~E.has_ends(ends)), ends)
     ctx.reject(table, bad)
     pairs = E.attach_keys(pairs, ctx.read("contacts"), ctx.read("companies"))
-    return upsert(table, ctx.read(table), pairs, ctx.as_of, unique=True)
+    return ctx.merged(table, pairs, unique=True)
 
 
 def load_object_edges(ctx: Context, source: str | None = None,
@@ -281,12 +354,12 @@ def load_object_edges(ctx: Context, source: str | None = None,
         edges = rows if edges is None else edges.unionByName(rows)
     table = "object_associations"
     if edges is None:
-        edges = empty_table(ctx.spark, table)
+        return ctx.merged(table, empty_table(ctx.spark, table), within=[])
     ends = ["source_object_type", "source_object_id", "target_object_type", "target_object_id"]
     edges = ctx.watch(edges, table, ~E.has_ends(ends))
     edges, bad = E.split_edges(edges, ends)
     ctx.reject(table, bad)
-    return upsert(table, ctx.read(table), edges, ctx.as_of, order_by=("seq", "pos"))
+    return ctx.merged(table, edges, ("seq", "pos"), within=pairs)
 
 
 def activity_records(ctx: Context, on_error: Callable[[str, Exception], None] | None = None) -> dict[str, DataFrame]:
@@ -326,7 +399,7 @@ def _activities_of(ctx: Context, records: dict[str, DataFrame]) -> DataFrame:
 
 def load_activities(ctx: Context, records: dict[str, DataFrame] | None = None) -> DataFrame:
     rows = _activities_of(ctx, records or activity_records(ctx))
-    return upsert("activities", ctx.read("activities"), rows, ctx.as_of)
+    return ctx.merged("activities", rows)
 
 
 def load_details(ctx: Context, kind: str, records: dict[str, DataFrame],
@@ -336,7 +409,7 @@ def load_details(ctx: Context, kind: str, records: dict[str, DataFrame],
         rows = resolve.resolve_label(rows, "activity_assigned_to",
                                      resolve.label_dim(None, ctx.owner_overrides))
     rows = flatten.attach_activity(rows, activities)
-    return upsert_details(kind.lower(), ctx.read(DETAIL_TABLES[kind]), rows, ctx.as_of)
+    return ctx.merged(DETAIL_TABLES[kind], rows)
 
 
 def load_activity_edges(ctx: Context, records: dict[str, DataFrame],
@@ -346,32 +419,39 @@ def load_activity_edges(ctx: Context, records: dict[str, DataFrame],
         one = E.activity_edges(rows)
         edges = one if edges is None else edges.unionByName(one)
     edges = E.attach_activity_id(edges, activities)
-    table = "activity_associations"
-    return upsert(table, ctx.read(table), edges, ctx.as_of, order_by=("seq", "pos"))
+    return ctx.merged("activity_associations", edges, ("seq", "pos"))
 
 
 def load_property_history(ctx: Context, pairs=HISTORY_PROPERTIES) -> DataFrame:
-    rows = None
+    rows, within = None, []
     for object_type, payloads in ctx.landed.history.items():
         names = [p for t, p in pairs if t == object_type]
+        within += [(object_type, name) for name in names]
         read = L.history_payloads(payloads, object_type).filter(F.col("property_name").isin(names))
         one = property_history(read)
         rows = one if rows is None else rows.unionByName(one)
     table = "property_histories"
     if rows is None:
         rows = empty_table(ctx.spark, table)
-    return upsert(table, ctx.read(table), rows, ctx.as_of, order_by=("pos",))
+    return ctx.merged(table, rows, ("pos",), within=within)
 
 
 def timeline_families(ctx: Context) -> dict[str, DataFrame]:
+    """The event families; with ``events`` set to ``changed`` of what this run inserted or updated alone."""
     details = {kind: ctx.read(table) for kind, table in DETAIL_TABLES.items()}
-    return TL.build_events(
-        ctx.read("activities"), details, ctx.read("activity_associations"), ctx.read("tickets"),
-        ctx.read("object_associations"), ctx.read("property_histories"), ctx.as_of)
+    tables = (ctx.read("activities"), details, ctx.read("activity_associations"), ctx.read("tickets"),
+              ctx.read("object_associations"), ctx.read("property_histories"))
+    if ctx.events == CHANGED_EVENTS:
+        tables = TL.only_changed(*tables, ctx.as_of, lambda keys, name: resolve.sized(ctx.stage(keys, name)))
+    return TL.build_events(*tables, ctx.as_of)
+
+
+def _timeline(ctx: Context, families) -> DataFrame:
+    return ctx.merged("contact_activity_timelines", TL.union_events(*families.values()))
 
 
 def build_timeline(ctx: Context) -> DataFrame:
-    return TL.timeline(timeline_families(ctx), ctx.read("contact_activity_timelines"), ctx.as_of)
+    return _timeline(ctx, timeline_families(ctx))
 
 
 METRICS = T.StructType([
@@ -381,13 +461,24 @@ METRICS = T.StructType([
 
 
 def _save(ctx: Context, table: str, merged: DataFrame) -> dict[str, int]:
-    """Write a merged table; the counts are taken while it is written, not in a second pass."""
+    """Write a merged table; the counts are taken while it is written, not in a second pass.
+
+    Of a table of which only some partitions were merged, those are replaced. Rows of the others count as
+    kept; their number is in the footers of the files.
+    """
     seen = Observation()
     counts = {name: F.count_if(F.col("action") == name).alias(name)
               for name in (INSERTED, UPDATED, KEPT)}
-    ctx.tables.write(merged.observe(seen, *counts.values()), table)
-    found = _observed(seen)
-    return {name: int(found.get(name) or 0) for name in counts}
+    within = ctx.touched.pop(table, None)
+    if within is None or not ctx.tables.exists(table):
+        ctx.tables.write(merged.observe(seen, *counts.values()), table)
+        others = 0
+    else:
+        if within:
+            ctx.tables.replace(merged.observe(seen, *counts.values()), table)
+        others = ctx.tables.read(table, without=within).count()
+    found = _observed(seen) if within != [] else {}
+    return {name: int(found.get(name) or 0) + (others if name == KEPT else 0) for name in counts}
 
 
 def _text(error: Exception) -> str:
@@ -409,6 +500,7 @@ class _Run:
             counts = _save(self.ctx, name, build())
             failed = self.ctx.failed(name)
         except Exception as error:  # noqa: BLE001 - a step may fail for any reason
+            self.ctx.touched.pop(name, None)
             if name != "activities":  # those were counted when they were staged
                 self.ctx.rejected.pop(name, None)
                 self.ctx.forget(name)
@@ -445,7 +537,7 @@ class _Run:
                     made[name] = ctx.stage(events, f"events-{name}")
                 except Exception as error:  # noqa: BLE001 - a family may fail for any reason
                     self.note_failure(f"{table}: {name}", error)
-            return TL.timeline(made, ctx.read(table), ctx.as_of)
+            return _timeline(ctx, made)
 
         before = len(self.metrics)
         self.step(table, lambda: build_timeline(ctx))
@@ -498,7 +590,7 @@ def run_full(ctx: Context, rebuild: bool = False, keep: int = 2) -> DataFrame:
     return ctx.spark.createDataFrame(run.metrics, METRICS)
 
 
-__all__ = ["Context", "HISTORY_PROPERTIES", "Landed", "LoadFailed", "OBJECT_PAIRS",
+__all__ = ["ALL_EVENTS", "CHANGED_EVENTS", "Context", "FAIL", "HISTORY_PROPERTIES", "Landed", "LoadFailed", "OBJECT_PAIRS", "QUARANTINE", "RulesBroken",
            "activity_records", "build_timeline", "contact_company_diagnostics", "load_activities",
            "load_activity_edges", "load_communications", "load_companies",
            "load_contact_company_edges", "load_contacts", "load_deals", "load_details",

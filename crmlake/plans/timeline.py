@@ -386,6 +386,44 @@ def build_events(activities: DataFrame, details: dict[str, DataFrame], activity_
     }
 
 
+def only_changed(activities: DataFrame, details: dict[str, DataFrame], activity_edges: DataFrame, tickets: DataFrame,
+                 object_edges: DataFrame, history: DataFrame, as_of, kept) -> tuple:
+    """The tables of :func:`build_events`, cut to what can make another event than before.
+
+    A run stamps the rows it inserts or updates with ``as_of``. From these, keys go back along the joins
+    of the events: to an activity from itself, its details and its edges; to a ticket from itself, its
+    contacts and its stage changes. A change of a contact makes its own event. The keys are collected from
+    narrow columns and given to ``kept`` (keys, name), which may stage and count them; the wide rows then meet
+    them in a semi join, before they are shuffled or parsed into events.
+    """
+    def fresh(df: DataFrame) -> DataFrame:
+        return df.filter(F.col("etl_date") == F.lit(as_of).cast("timestamp"))
+
+    known = activities.select("id", F.lower("source_id").alias("key"))
+    linked = fresh(activity_edges).select(F.lower("activity_source_id").alias("key")).distinct()
+    ids = fresh(activities).select("id").unionByName(known.join(linked, "key", "left_semi").select("id"))
+    for rows in details.values():
+        ids = ids.unionByName(fresh(rows).select(F.col("activity_id").alias("id")))
+    ids = kept(ids.distinct(), "changed-activities")
+    activities = activities.join(ids, "id", "left_semi")
+    details = {kind: rows.join(ids.select(F.col("id").alias("activity_id")), "activity_id", "left_semi")
+               for kind, rows in details.items()}
+
+    def ticket_side(rows: DataFrame) -> DataFrame:
+        ends = [F.when(F.col(f"{end}_object_type") == "ticket", F.lower(f"{end}_object_id")) for end in ("source", "target")]
+        return rows.select(F.explode(F.array(*ends)).alias("key")).filter("key is not null")
+
+    stages = filter_history(fresh(history), "ticket", "hs_pipeline_stage")
+    keys = (fresh(tickets).select(F.lower("source_id").alias("key")).unionByName(ticket_side(fresh(object_edges)))
+            .unionByName(stages.select(F.lower("object_id").alias("key"))).distinct())
+    keys = kept(keys, "changed-tickets")
+    tickets = tickets.join(keys, F.lower("source_id") == F.col("key"), "left_semi")
+    is_contact = F.col("object_type") == "contact"
+    of_tickets = history.filter(~is_contact).join(keys, F.lower("object_id") == F.col("key"), "left_semi")
+    history = fresh(history).filter(is_contact).unionByName(of_tickets)
+    return activities, details, activity_edges, tickets, object_edges, history
+
+
 def timeline(families, base: DataFrame, as_of) -> DataFrame:
     """Union of the families, merged into the stored timeline."""
     values = families.values() if isinstance(families, dict) else families

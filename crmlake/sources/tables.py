@@ -3,11 +3,16 @@
 ``root/<table>/v=<n>`` holds one complete version. A reader takes the highest version whose write
 was committed, so a run that dies half way leaves the last good version in place, and a merge can
 read the table it is about to replace.
+
+Where the business key tells the partition (edges, history, timeline), a merge concerns only the partitions
+that its rows are in. :meth:`Tables.replace` puts those in place of the stored ones and leaves all other
+files alone.
 """
 
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -26,6 +31,17 @@ def _spread(df: DataFrame, table: str) -> DataFrame:
     return df.hint("rebalance", *PARTITIONS[table]) if table in PARTITIONS else df
 
 
+def _lies_in(table: str, values: list[tuple]) -> Column:
+    """Whether a row is in one of these partitions; Spark prunes the others' files."""
+    each = [reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(PARTITIONS[table], one)])
+            for one in values]
+    return reduce(lambda a, b: a | b, each, F.lit(False))
+
+
+#: A snapshot that lies in more partitions than this is merged with the whole table.
+MOST_PARTITIONS = 1000
+
+
 class Tables:
     """Reads and writes the known tables below a root folder."""
 
@@ -53,12 +69,33 @@ class Tables:
     def exists(self, table: str) -> bool:
         return bool(self._versions(table, committed=True))
 
-    def read(self, table: str) -> DataFrame:
-        """The current version; an empty table where there is none yet."""
+    def read(self, table: str, within: list[tuple] | None = None, without: list[tuple] | None = None) -> DataFrame:
+        """The current version; an empty table where there is none yet.
+
+        ``within`` and ``without`` are partition values; only files of those, or of all others, are read.
+        """
         versions = self._versions(table, committed=True)
         if not versions:
             return empty_table(self.spark, table)
-        return self.spark.read.schema(schema(table)).parquet(f"{self.root}/{table}/v={versions[-1]}")
+        stored = self.spark.read.schema(schema(table)).parquet(f"{self.root}/{table}/v={versions[-1]}")
+        if within is not None:
+            stored = stored.filter(_lies_in(table, within))
+        return stored if without is None else stored.filter(~_lies_in(table, without))
+
+    def partitions_of(self, df: DataFrame, table: str) -> list[tuple] | None:
+        """The partition values that rows of a table are in; None where they are too many to list."""
+        found = df.select(*PARTITIONS[table]).distinct().limit(MOST_PARTITIONS + 1).collect()
+        return None if len(found) > MOST_PARTITIONS else sorted((tuple(r) for r in found), key=str)
+
+    def replace(self, df: DataFrame, table: str) -> None:
+        """Write rows in place of the partitions they are in. Spark stages the new files and moves them
+        when all are written, so the rows may be made of the partitions they replace."""
+        versions = self._versions(table, committed=True)
+        if not versions:
+            self.write(df, table)
+            return
+        (_spread(to_table(df, table), table).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*PARTITIONS[table]).parquet(f"{self.root}/{table}/v={versions[-1]}"))
 
     def write(self, df: DataFrame, table: str) -> DataFrame:
         """Write a new version in one distributed job and return it as read back."""

@@ -16,7 +16,7 @@ from queryset.base import kept, query, ts
 from queryset.sqlparts import (
     ACTIVITIES, ACTIVITY_COLUMNS, ACTIVITY_EDGES, CONTACTS, NOW, OWNERS, owned, with_)
 
-KINDS = ("CALL", "EMAIL", "MEETING", "TASK", "NOTE")
+KINDS = ("CALL", "EMAIL", "MEETING", "TASK", "NOTE", "SMS")
 
 
 def parsed(spark, d, kind):
@@ -42,11 +42,9 @@ def p8(spark, d):
 
 @query("x1_all_activities", with_(ACTIVITIES) + """
 select activity_type, count(*) as activities, count(subject) as with_subject from activities
-group by activity_type
-union all
-select 'SMS', count(*), count(case when turn > 0 then 1 end) from conversations""")
+group by activity_type""")
 def x1(spark, d):
-    rows = FL.all_activities(**{k: flat(spark, d, k) for k in (*KINDS, "SMS")})
+    rows = all_flat(spark, d)
     return rows.groupBy("activity_type").agg(F.count(F.lit(1)).alias("activities"),
                                              F.count("subject").alias("with_subject"))
 
@@ -144,17 +142,22 @@ def _table_ids(activities):
     return activities.withColumn("id", surrogate_id(["source_id"]))
 
 
+def _shown_id(column):
+    """A surrogate id that is the source's own number; hashes are negative and differ between engines."""
+    return F.when(F.col(column) >= 0, F.col(column)).alias(column)
+
+
 @query("p26_attach_activity", with_(ACTIVITIES) + """
 select event_id as activity_id, activity_type, case when activity_type = 'CALL' then subject end as call_title
 from activities""")
 def p26(spark, d):
-    """Details of every kind with the id of their activity."""
+    """Details of every kind with the id of their activity; ids made of text (SMS) are hashes and not shown."""
     stored_ids, parts = _table_ids(all_flat(spark, d)), []
     for kind in KINDS:
         title = F.col("call_title") if kind == "CALL" else F.lit(None).cast("string")
         details = FL.details_of(parsed(spark, d, kind), kind)
         parts.append(FL.attach_activity(details, stored_ids).select(
-            "activity_id", F.lit(kind).alias("activity_type"), title.alias("call_title")))
+            _shown_id("activity_id"), F.lit(kind).alias("activity_type"), title.alias("call_title")))
     return TL.union_events(*parts)
 
 
@@ -277,7 +280,7 @@ from activity_edges e left join (select * from activities where activity_type <>
 def j8(spark, d):
     stored = _table_ids(all_flat(spark, d).filter("activity_type <> 'NOTE'"))
     return E.attach_activity_id(edges(spark, d), stored).select(
-        "activity_source_id", "associated_object_id", "activity_id")
+        "activity_source_id", "associated_object_id", _shown_id("activity_id"))
 
 
 def staged(spark, d, kinds=KINDS):
@@ -316,7 +319,8 @@ select source_id, case when activity_type = 'CALL' then subject end as call_titl
        case when activity_type = 'TASK' and value > 60 then 'TODO' end as task_type,
        case when activity_type = 'MEETING' and k < 50 then 'Room ' || k end as meeting_location,
        case when activity_type = 'EMAIL' then cast(k // 10 as varchar) end as clicks,
-       case when activity_type = 'NOTE' then {ts('ts')} end as note_created
+       case when activity_type = 'NOTE' then {ts('ts')} end as note_created,
+       case when activity_type = 'SMS' then activity_owner end as sms_assigned_to
 from activities""")
 def j9(spark, d):
     activities, details, _ = stored(spark, d)
@@ -325,7 +329,8 @@ def j9(spark, d):
         F.col("task.task_type").alias("task_type"),
         F.col("meeting.meeting_location").alias("meeting_location"),
         F.col("email.number_of_email_clicks").alias("clicks"),
-        F.col("note.created_date").alias("note_created"))
+        F.col("note.created_date").alias("note_created"),
+        F.col("sms.activity_assigned_to").alias("sms_assigned_to"))
 
 
 @query("j10_contact_activities", with_(ACTIVITIES) + """
@@ -419,6 +424,8 @@ _FAMILIES = {
         "'note_created'", f"""'Note' || ': ' || case when length(body) > 100
           then substr(body, 1, 100) || '...' else body end || {_BY}""", "note",
         _pairs(("status", "status")), "activity_type = 'NOTE'"),
+    "sms": _row("'sms_created'", f"'SMS activity' || {_SUBJECT} || {_BY}", "sms", _pairs(("status", "status")),
+                "activity_type = 'SMS'"),
 }
 
 
@@ -483,7 +490,7 @@ def t13(spark, d):
     return TL.other_events(TL.activities_of_contacts(activities, links), X.AS_OF)
 
 
-ALL_FAMILIES = _family("received", "sent", "opened", "clicked", "call", "meeting", "task", "note")
+ALL_FAMILIES = _family("received", "sent", "opened", "clicked", "call", "meeting", "task", "note", "sms")
 
 
 @query("activity_events_in_one_pass", ALL_FAMILIES)

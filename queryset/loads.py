@@ -13,7 +13,7 @@ from queryset.activities import ALL_FAMILIES
 from queryset.base import ORACLES, query, ts
 from queryset.sqlparts import (
     ACTIVITIES, ACTIVITY_EDGES, COMMUNICATIONS, COMPANIES, CONTACTS, DEALS, EDGE_CREATED, EDGE_LABEL,
-    EDGE_LABELS, EDGE_SOURCE, HISTORY, OWNERS, PAIRS, STAGES, TICKETS, owned, stripped, with_)
+    EDGE_LABELS, EDGE_SOURCE, EVENTS, HISTORY, OWNERS, PAIRS, STAGES, TICKETS, owned, stripped, with_)
 
 _LOADED = "'2024-01-15 00:00:00.000000' as etl_date"
 _NEW = f"{_LOADED}, 'inserted' as action"
@@ -256,15 +256,16 @@ _STEPS = {
     "notes": "select count(*) from e where kind = 'NOTE'",
     "object_associations": """select count(*) from (select distinct o_custkey, l_partkey
         from orders join lineitem on o_orderkey = l_orderkey)""",
-    "activities": "select count(*) from e",
+    "activities": "select count(*) from activities",
     "activity_calls": "select count(*) from e where kind = 'CALL'",
     "activity_emails": "select count(*) from e where kind = 'EMAIL'",
     "activity_meetings": "select count(*) from e where kind = 'MEETING'",
     "activity_tasks": "select count(*) from e where kind = 'TASK'",
     "activity_notes": "select count(*) from e where kind = 'NOTE'",
+    "activity_sms": "select count(*) from conversations",
     "activity_associations": "select count(*) from activity_edges",
     "property_histories": "select (select count(*) from deal_history) + 2 * count(*) from part",
-    "contact_activity_timelines": """select (select count(*) from e where k < 80)
+    "contact_activity_timelines": """select (select count(*) from activities where k < 80)
         + (select count(*) from e where kind = 'EMAIL' and k between 1 and 49)
         + (select count(*) from e where kind = 'EMAIL' and k between 10 and 79)
         + 3 * (select count(*) from (select distinct o_custkey, l_partkey
@@ -334,6 +335,107 @@ def p22_rejected(spark, d, store):
         F.count(F.lit(1)).alias("rows"), F.count("raw").alias("with_raw"))
 
 
+_BROKEN = """
+b as (
+  select c_custkey, c_custkey % 10 as digit, c_custkey = (select min(c_custkey) from customer where c_custkey % 10 = 3) as first,
+         c_custkey + 1 in (select c_custkey from customer) as taken from customer)"""
+
+
+def _rules_run(spark, d, store, rules):
+    """A run over clean contacts, then one over contacts that break rules in every way."""
+    first = context(spark, d, objects={"contacts": X.own_contacts(spark, d)})
+    first.tables, first.rules = store, rules
+    LD.run_full(first)
+    second = context(spark, d, objects={"contacts": X.rule_breaking_contacts(spark, d)})
+    second.tables, second.rules = store, rules
+    return LD.run_full(second)
+
+
+@query("q1_quarantine_at_write", "with " + _BROKEN.strip() + """
+select 'rejected: length: full_name' as what, count(*) as n from b where digit in (1, 4)
+union all select 'rejected: unique: email', count(*) from b where (digit = 2 and taken) or (digit = 3 and not first)
+union all select 'metrics: inserted', count(*) from b where digit = 3 and first
+union all select 'metrics: updated', count(*) from b where digit in (0, 5, 6, 7, 8, 9) or (digit = 2 and not taken)
+union all select 'metrics: failed', count(*) from b where digit in (1, 4) or (digit = 2 and taken) or (digit = 3 and not first)
+union all select 'rows', count(*) + 1 from b
+union all select 'addresses', count(*) + 1 from b
+union all select 'too long', 0""")
+@Q.in_store
+def q1_quarantine(spark, d, store):
+    """Rows that break a rule are set aside with the rules they break; stored rows of their keys stay."""
+    metrics = _rules_run(spark, d, store, LD.QUARANTINE).filter("step = 'contacts'")
+    rows = store.read("contacts")
+    what = store.read("rejected").groupBy(F.concat(F.lit("rejected: "), "reason").alias("what")).agg(F.count("*").alias("n"))
+    told = metrics.selectExpr("stack(3, 'metrics: inserted', inserted, 'metrics: updated', updated, 'metrics: failed', failed) as (what, n)")
+    seen = rows.agg(F.count("*").alias("a"), F.count_distinct("email").alias("b"), F.count_if(F.length("full_name") > 255).alias("c"))
+    return what.unionByName(told).unionByName(seen.selectExpr("stack(3, 'rows', a, 'addresses', b, 'too long', c) as (what, n)"))
+
+
+@query("q3_fail_at_write", "with " + _BROKEN.strip() + """
+select 'contacts' as step, count(*) as broken, (select count(*) from b) as stored from b
+where digit in (1, 4) or (digit = 2 and taken) or (digit = 3 and not first)""")
+@Q.in_store
+def q3_fail(spark, d, store):
+    """The same run where a rule may not be broken: the step fails before it writes, and the stored rows stay."""
+    try:
+        _rules_run(spark, d, store, LD.FAIL)
+        broken = 0
+    except LD.LoadFailed as error:
+        broken = error.__cause__.rows
+    return store.read("contacts").agg(F.lit("contacts").alias("step"), F.lit(broken).alias("broken"), F.count("*").alias("stored"))
+
+
+@query("k2_touched_partitions", """
+select 'contact' as source_object_type, false as rewritten, count(*) as rows from (
+  select distinct o_custkey, l_partkey from orders join lineitem on o_orderkey = l_orderkey)
+union all
+select 'deal', true, count(*) from (select distinct l_orderkey, l_partkey from lineitem)""")
+@Q.in_store
+def k2_touched(spark, d, store):
+    """A run in which one pair of types landed, into a store with edges of two: only that pair's files are new."""
+    pairs = {("contact", "ticket"): X.contact_ticket_pages(spark, d), ("deal", "ticket"): X.deal_ticket_pages(spark, d)}
+    first = context(spark, d, associations=pairs)
+    first.tables = store
+    LD.run_full(first)
+    edges = lambda: store.read("object_associations").withColumn("file", F.col("_metadata.file_path"))
+    # file names as a table of their own: what a run stages is removed at its end
+    before = F.broadcast(spark.createDataFrame(edges().select("file").distinct().collect(), "file string"))
+    second = context(spark, d, associations={("deal", "ticket"): pairs["deal", "ticket"]})
+    second.tables = store
+    LD.run_full(second)
+    return edges().join(before.withColumn("old", F.lit(True)), "file", "left").groupBy(
+        "source_object_type", F.col("old").isNull().alias("rewritten")).agg(F.count("*").alias("rows"))
+
+
+def _changed_run(spark, d, store, events):
+    """A run over calls and tickets, then one in which every hundredth call landed again."""
+    calls = X.activities(spark, d, "CALL")
+    landed = {"objects": {"calls": calls, "tickets": X.tickets(spark, d)},
+              "associations": {("contact", "ticket"): X.contact_ticket_pages(spark, d)},
+              "history": {"ticket": X.ticket_history_pages(spark, d)}}
+    first = context(spark, d, **landed)
+    first.tables = store
+    LD.run_full(first)
+    second = context(spark, d, objects={"calls": calls.filter(F.col("seq").cast("long") % 100 == 0)})
+    second.tables, second.events, second.as_of = store, events, "2024-01-16 00:00:00"
+    return LD.run_full(second)
+
+
+@query("r12_changed_events", with_(EVENTS) + """
+select 'call_created' as event_type, count(*) as events, count(*) filter (event_id % 100 = 0) as made
+from e where kind = 'CALL' and k < 80
+union all select t, n * c, 0 from (
+  select count(*) as n from (select distinct o_custkey, l_partkey from orders join lineitem on o_orderkey = l_orderkey)),
+  (values ('ticket_created', 1), ('ticket_status_changed', 2)) as v(t, c)""")
+@Q.in_store
+def r12_changed(spark, d, store):
+    """A run that makes the events of what it changed alone: the others stay as they are stored."""
+    _changed_run(spark, d, store, LD.CHANGED_EVENTS)
+    rows = store.read("contact_activity_timelines")
+    return rows.groupBy("event_type").agg(F.count("*").alias("events"), F.count_if(
+        F.col("etl_date") == F.lit("2024-01-16 00:00:00").cast("timestamp")).alias("made"))
+
+
 @query("k6_rebuild", """
 select 'companies' as step, count(*) as rows_before, 0 as rows_after from supplier
 union all select 'contacts', 0, count(*) from customer""")

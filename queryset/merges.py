@@ -170,22 +170,29 @@ for _kind, _at in _DETAILS.items():
         return M.upsert_details(kind, side(spark, d, table, "b"), side(spark, d, table, "i"), X.AS_OF)
 
 
+# a column of each kind of detail that u9 shows
+_SHOWN = {"call": "call_title", "email": "text_body", "meeting": "meeting_name", "note": "created_by_user_id",
+          "sms": "message_body", "task": "task_type"}
+
+
 @query("u9_upsert_activities", f"""
-with a as ({merged_sql('activities')}), c as ({merged_sql('activity_calls')})
-select a.source_id, a.subject, a.status, a.action, c.call_title, c.action as call_action
-from a left join c on c.activity_id = cast(a.source_id as bigint)""")
+with a as ({merged_sql('activities')}), {", ".join(f"{k} as ({merged_sql(_DETAIL_TABLE[k])})" for k in _SHOWN)}
+select a.source_id, a.subject, a.status, a.action,
+       {", ".join(f"{k}.{c} as {k}_{c}, {k}.action as {k}_action" for k, c in _SHOWN.items())}
+from a {" ".join(f"left join {k} on {k}.activity_id = cast(a.source_id as bigint)" for k in _SHOWN)}""")
 def u9(spark, d):
-    """Activities with call details whose keys are attached through the merged activities."""
+    """Activities with details of every kind whose keys are attached through the merged activities."""
     base, new = side(spark, d, "activities", "b"), side(spark, d, "activities", "i")
     new = new.drop("id").withColumn("id", F.col("source_id").cast("bigint"))
     base = base.withColumn("id", F.col("source_id").cast("bigint"))
-    calls = side(spark, d, "activity_calls", "i").withColumn(
-        "source_id", F.col("activity_id").cast("string")).drop("activity_id")
-    merged, details = M.upsert_activities(
-        base, new, {"call": (side(spark, d, "activity_calls", "b"), calls)}, X.AS_OF)
-    found = details["call"].select("activity_id", "call_title", F.col("action").alias("call_action"))
-    return merged.join(found, F.col("id") == F.col("activity_id"), "left").select(
-        "source_id", "subject", "status", "action", "call_title", "call_action")
+    details = {k: (side(spark, d, _DETAIL_TABLE[k], "b"), side(spark, d, _DETAIL_TABLE[k], "i").withColumn(
+        "source_id", F.col("activity_id").cast("string")).drop("activity_id")) for k in _SHOWN}
+    merged, details = M.upsert_activities(base, new, details, X.AS_OF)
+    out = merged.select("id", "source_id", "subject", "status", "action")
+    for k, c in _SHOWN.items():
+        found = details[k].select(F.col("activity_id").alias("id"), F.col(c).alias(f"{k}_{c}"), F.col("action").alias(f"{k}_action"))
+        out = out.join(found, "id", "left")
+    return out.drop("id")
 
 
 _REPEATED = """

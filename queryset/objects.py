@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from crmlake import fixtures as X
 from crmlake.functions import text as TX, values as V
 from crmlake.functions.associations import first_contact, source_object
+from crmlake.model.objects import ACTIVITY_SOURCES
 from crmlake.operators import flatten as FL, resolve as R
+from crmlake.plans.timeline import union_events
 from crmlake.sources import landed as L
 from queryset.base import query, ts
 from queryset.sqlparts import (
@@ -187,12 +189,13 @@ def p19(spark, d):
 
 
 @query("p20_source_object", with_(ACTIVITIES) + """
-select source_id as id, source_object_type as type, source_object_id as object_id from activities
-where activity_type = 'CALL'""")
+select source_id as id, source_object_type as type, source_object_id as object_id from activities""")
 def p20(spark, d):
-    calls = L.parse_objects(X.activities(spark, d, "CALL"), "calls")
-    s = source_object()
-    return calls.select("id", s["type"].alias("type"), s["id"].alias("object_id"))
+    s, parts = source_object(), []
+    for kind, object_type in ACTIVITY_SOURCES.items():
+        rows = L.parse_objects(X.activities(spark, d, kind), object_type)
+        parts.append(rows.select("id", s["type"].alias("type"), s["id"].alias("object_id")))
+    return union_events(*parts)
 
 
 @query("p21_raw_properties", """

@@ -83,7 +83,8 @@ select event_id as activity_id, source_id, activity_type, subject,
        {ts('activity_date')} as activity_date, status, source_object_type, source_object_id
 from activities""")
 def v2(spark, d):
-    return VW.fact_activities(stored(spark, d)[0])
+    facts = VW.fact_activities(stored(spark, d)[0])
+    return facts.withColumn("activity_id", F.when(F.col("activity_id") >= 0, F.col("activity_id")))  # hashes differ by engine
 
 
 def _store(spark):

@@ -157,7 +157,12 @@ activities as (
              when ts > {NOW} then 'upcoming' else 'completed' end
            else 'completed' end as status,
          event_id, user_id, value, k, ts
-  from dated)"""
+  from dated
+  union all
+  select conv_id || '-' || turn, conv_id || '-' || turn, 'SMS', case when turn > 0 then 'Turn ' || turn end,
+         {stripped("text")}, cast(turn as varchar), 'contacts', cast(conv_id as varchar),
+         timestamp '2024-01-06 00:00:00', 'completed', null, conv_id, null, 50, timestamp '2024-01-06 00:00:00'
+  from conversations)"""
 
 ACTIVITY_COLUMNS = f"""source_id, record_id, activity_type, subject, body, activity_owner,
   source_object_type, source_object_id, {ts('activity_date')} as activity_date, status"""
@@ -174,7 +179,7 @@ activity_edges as (
          'USER'
   from activities where k < 20
   union all
-  select source_id, 'contact', cast(user_id as varchar), 'to_contact', null, null
+  select source_id, 'contact', cast(user_id as varchar), case when activity_type <> 'SMS' then 'to_contact' end, null, null
   from activities where k < 80)"""
 
 PAIRS = """
