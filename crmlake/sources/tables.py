@@ -7,16 +7,21 @@ read the table it is about to replace.
 Where the business key tells the partition (edges, history, timeline), a merge concerns only the partitions
 that its rows are in. :meth:`Tables.replace` puts those in place of the stored ones and leaves all other
 files alone.
+
+The files of the other tables lie in batches: a merge writes one, an append adds one of its own beside it,
+so that what an append writes does not depend on the table, and an append that is run again replaces itself.
+Ids and keys have Bloom filters in the files, so a lookup skips row groups that do not hold its value.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from crmlake.model.tables import PARTITIONS, TABLES, schema
+from crmlake.model.tables import KEYS, PARTITIONS, TABLES, columns, schema
 from crmlake.operators.merge import empty_table, to_table
 
 
@@ -38,6 +43,18 @@ def _lies_in(table: str, values: list[tuple]) -> Column:
     return reduce(lambda a, b: a | b, each, F.lit(False))
 
 
+def _with_filters(writer, table: str):
+    """The surrogate id and the first key column can be looked up; filters follow the values of a
+    row group, from 64 KB to 1 MB."""
+    writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
+    for column in {"id", KEYS[table][0]} & set(columns(table)) - set(PARTITIONS.get(table, ())):
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    return writer
+
+
+#: The batch that a write or merge of a whole table leaves.
+WHOLE = "whole"
+
 #: A snapshot that lies in more partitions than this is merged with the whole table.
 MOST_PARTITIONS = 1000
 
@@ -78,6 +95,7 @@ class Tables:
         if not versions:
             return empty_table(self.spark, table)
         stored = self.spark.read.schema(schema(table)).parquet(f"{self.root}/{table}/v={versions[-1]}")
+        stored = stored.drop("batch")
         if within is not None:
             stored = stored.filter(_lies_in(table, within))
         return stored if without is None else stored.filter(~_lies_in(table, without))
@@ -94,19 +112,23 @@ class Tables:
         if not versions:
             self.write(df, table)
             return
-        (_spread(to_table(df, table), table).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*PARTITIONS[table]).parquet(f"{self.root}/{table}/v={versions[-1]}"))
+        (self._writer(df, table, WHOLE).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .parquet(f"{self.root}/{table}/v={versions[-1]}"))
 
     def write(self, df: DataFrame, table: str) -> DataFrame:
         """Write a new version in one distributed job and return it as read back."""
         version = max(self._versions(table, committed=False), default=0) + 1
         self._written.append(f"{self.root}/{table}/v={version}")
-        writer = _spread(to_table(df, table), table).write.mode("errorifexists")
-        if table in PARTITIONS:
-            writer = writer.partitionBy(*PARTITIONS[table])
-        writer.parquet(self._written[-1])
+        self._writer(df, table, WHOLE).mode("errorifexists").parquet(self._written[-1])
         return self.read(table)
 
+    @staticmethod
+    def _writer(df: DataFrame, table: str, batch: str):
+        rows = _spread(to_table(df, table), table)
+        if table not in PARTITIONS:
+            rows = rows.withColumn("batch", F.lit(batch))
+        return _with_filters(rows.write.partitionBy(*PARTITIONS.get(table, ("batch",))), table)
+
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         """Write an intermediate result below the root and return it as read back.
 
@@ -146,17 +168,36 @@ class Tables:
             fs, where = self._folder(f"{self.root}/{table}/v={version}")
             fs.delete(where, True)
 
-    def append(self, df: DataFrame, table: str) -> DataFrame:
-        """A new version of the stored rows and these. A write that breaks off is never read, and
-        :meth:`roll_back` takes it back like any other."""
-        return self.write(self.read(table).unionByName(to_table(df, table)), table)
+    def append(self, df: DataFrame, table: str, batch: str | None = None) -> DataFrame:
+        """Add rows. They become a batch of files beside the stored ones, which are not read or written; the
+        same ``batch`` appended again replaces what it wrote before. A write that breaks off is never read,
+        and :meth:`roll_back` takes it back like any other. The next write of the whole table joins them.
+
+        Of a partitioned table, the partitions that the rows are in are written anew with them.
+        """
+        versions = self._versions(table, committed=True)
+        if table in PARTITIONS:
+            rows = self.stage(to_table(df, table), f"append-{table}")
+            self.replace(self.read(table, self.partitions_of(rows, table)).unionByName(rows), table)
+            return self.read(table)
+        batch = batch or uuid.uuid4().hex
+        if not re.fullmatch(r"[A-Za-z0-9_.-]+", batch) or batch == WHOLE:
+            raise ValueError(f"not a name for a batch: {batch!r}")
+        version = versions[-1] if versions else max(self._versions(table, committed=False), default=0) + 1
+        path = f"{self.root}/{table}/v={version}"
+        self._written.append(f"{path}/batch={batch}" if versions else path)
+        writer = self._writer(df, table, batch)
+        if versions:  # a version is there: its other batches stay
+            writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.parquet(path)
+        return self.read(table)
 
     def find(self, table: str, predicate: Column) -> DataFrame:
         """Filtered scan; the predicate is pushed to the parquet reader."""
         return self.read(table).filter(predicate)
 
     def get(self, table: str, row_id: int) -> DataFrame:
-        """Point lookup by surrogate id: one row or none."""
+        """Point lookup by surrogate id: one row or none. Row groups are skipped by their Bloom filters."""
         return self.find(table, F.col("id") == row_id).limit(1)
 
     def ensure(self, *tables: str) -> list[str]:

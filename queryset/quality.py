@@ -124,6 +124,20 @@ def k1(spark, d, store):
     return rows.select("id", "full_name")
 
 
+@query("k1_append_again", """
+select c_custkey as id, c_name as full_name from customer
+union all select -1 - s_suppkey, s_name from supplier""")
+@in_store
+def k1_again(spark, d, store):
+    """An append that is run twice under one name, as after a failure, leaves its rows once."""
+    store.write(X.table(spark, d, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("full_name")), "contacts")
+    for _ in range(2):
+        rows = store.append(X.table(spark, d, "supplier").select(
+            (-1 - F.col("s_suppkey")).alias("id"), F.col("s_name").alias("full_name")), "contacts", batch="suppliers")
+    return rows.select("id", "full_name")
+
+
 @query("s12_read_table", with_(OWNERS, ACTIVITIES) + f"""
 select x.source_id, x.activity_type, {owned('activity_owner')} as activity_owner
 from activities x left join owner_names o on o.key = x.activity_owner""")

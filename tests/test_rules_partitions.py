@@ -118,6 +118,53 @@ def test_more_partitions_than_are_listed(spark, tmp_path, monkeypatch):
     assert store.partitions_of(edges(spark, edge("a", "b", 1)), "object_associations") == [("a", "b")]
 
 
+# ---- appends and lookups
+
+
+def numbered(spark, start, n, parts=4):
+    return spark.range(start, start + n, 1, parts).select("id", F.col("id").cast("string").alias("source_id"),
+                                                        F.lit("2024-01-01").cast("timestamp").alias("etl_date"))
+
+
+def test_an_append_writes_its_own_rows_only(spark, tmp_path):
+    store = ST.Tables(spark, str(tmp_path / "s"))
+    store.write(numbered(spark, 0, 20_000), "contacts")
+    before = files(store.root, "contacts")
+    written = []
+    for k in range(2):
+        assert store.append(numbered(spark, 10**6 * (k + 1), 10, 1), "contacts").count() == 20_000 + 10 * (k + 1)
+        new = set(files(store.root, "contacts")) - set(before) - set(written)
+        written += new
+        assert len(new) == 1 and os.path.getsize(*new) < 150_000  # two Bloom filters of 64 KB
+    assert {f: t for f, t in files(store.root, "contacts").items() if f in before} == before
+    store.begin()
+    store.append(numbered(spark, 5 * 10**6, 10, 1), "contacts", batch="b")
+    store.append(numbered(spark, 6 * 10**6, 5, 1), "contacts", batch="b")  # run again: replaces itself
+    assert store.read("contacts").count() == 20_025 and "batch" not in store.read("contacts").columns
+    store.roll_back()
+    assert store.read("contacts").count() == 20_020
+    assert store.write(store.read("contacts"), "contacts").count() == 20_020  # a whole write joins the batches
+    assert {f.split("batch=")[1].split("/")[0] for f in files(store.root, "contacts") if "v=2" in f} == {ST.WHOLE}
+    for bad in ("a/b", "", ST.WHOLE, ".. "):
+        if bad:
+            with pytest.raises(ValueError):
+                store.append(numbered(spark, 0, 1), "contacts", batch=bad)
+    first = ST.Tables(spark, str(tmp_path / "first"))
+    assert first.append(numbered(spark, 0, 3), "contacts", batch="2024").count() == 3
+
+
+def test_a_lookup_reads_one_row_group(spark, tmp_path):
+    store = ST.Tables(spark, str(tmp_path / "s"))
+    # ids lie in no order, as after a merge, so the least and greatest of a file tell nothing
+    store.write(numbered(spark, 0, 40_000, 1).repartition(8, F.hash("id")), "contacts")
+    for lookup in (F.col("id") == 12_345, F.col("source_id") == "12345"):
+        df = store.find("contacts", lookup)
+        assert [r["id"] for r in df.collect()] == [12_345]
+        scan = df._jdf.queryExecution().executedPlan().collectLeaves().head()
+        assert 0 < scan.metrics().apply("numOutputRows").value() <= 40_000 / 8 * 1.2
+    assert store.get("contacts", 12_345).count() == 1 and store.get("contacts", -7).count() == 0
+
+
 # ---- rules
 
 
