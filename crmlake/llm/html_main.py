@@ -7,7 +7,8 @@ in all its text. The element with most points is the container of the article. I
 beside it are kept as well. Menus, headers, footers, sidebars, notices, adverts, forms, scripts and reader comments,
 known by tag, role or by a word of their class or id, are left out before. Such a word does not condemn
 an element around the page's largest article or main or, on a page without one outside such elements,
-around most of its unlinked text; it only lowers that element's points. When nothing is left, the page is scored again without the words.
+around most of its unlinked text; it only lowers that element's points. A form is weighed in the same way if
+paragraphs are in it, and left out otherwise. When nothing is left, the page is scored again without the words.
 
 Pages are parsed leniently: unclosed and stray tags are allowed, a block element ends an open
 paragraph. References are decoded, white space inside a block becomes one space, blocks are joined by
@@ -22,13 +23,15 @@ from __future__ import annotations
 
 import html
 import re
+from collections import defaultdict
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)"
-    r"""|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+)(?:>|\Z)""", re.S)
+    # a quote counts behind "=" only; elsewhere, as in an unquoted value, it is a character like others
+    r"""|<(/?)([a-zA-Z][^\s/>]*+)((?:=\s*+(?:"[^"]*+"|'[^']*+')|[^>=]++|=)*+)(?:>|\Z)""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -39,7 +42,7 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small "
     "span strike strong sub sup time tt u var wbr br img".split())
 DROPPED_TAGS = frozenset(
-    "nav footer aside form button select option input menu dialog template svg math object embed head "
+    "nav footer aside button select option input menu dialog template svg math object embed head "
     "script style textarea title noscript iframe canvas audio video map".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search alert dialog alertdialog menu menubar "
                           "toolbar form".split())
@@ -116,8 +119,10 @@ def _settle(nodes: list[Node], found: list[Block]) -> None:
     for b in found:
         for node, piece, link in b.parts:
             text[node.order] += 0 if link else len(piece.strip())
+    prose = [n.tag in ("p", "article", "main") for n in nodes]
     for node in reversed(nodes[1:]):
         text[node.parent.order] += text[node.order]
+        prose[node.parent.order] |= prose[node.order]
     saved, free, within = set(), False, [False] * len(nodes)
     for node in nodes[1:]:
         within[node.order] = within[node.parent.order] or node.word > 0 or node.titled
@@ -129,6 +134,8 @@ def _settle(nodes: list[Node], found: list[Block]) -> None:
     for node in nodes[1:]:  # what is around an element comes before it
         least = max(node.word, MOST if node.titled else 0.0)
         keep = node.order in saved or not (free or saved) and text[node.order] > least * text[0]
+        if node.tag == "form":  # one without a paragraph is a form, however little else there is
+            keep &= prose[node.order]
         if least and keep:
             node.factor = SAVED
         node.drop |= node.parent.drop or node.word > 0 and not keep
@@ -143,6 +150,7 @@ def blocks(page: str, by_words: bool = True) -> list[Block]:
     """The blocks of text of a page in order; those in parts that are left out are not among them."""
     root = Node("html", None, False, False, 0)
     stack, links, nodes = [root], 0, [root]
+    opened: dict[str, int] = defaultdict(int)  # elements on the stack by name, so that no search is in vain
     out: list[Block] = []
     current: Block | None = None
 
@@ -164,6 +172,7 @@ def blocks(page: str, by_words: bool = True) -> list[Block]:
         nonlocal links
         for node in stack[k:]:
             links -= node.tag == "a"
+            opened[node.tag] -= 1
         del stack[k:]
 
     at, n = 0, len(page)
@@ -176,7 +185,7 @@ def blocks(page: str, by_words: bool = True) -> list[Block]:
             continue
         tag = m[2].lower()
         if m[1]:  # an end tag closes the nearest open element of its name
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1 if opened[tag] else 0, 0, -1):
                 if stack[k].tag == tag:
                     if any(x.tag not in INLINE for x in stack[k:]):
                         current = None
@@ -190,7 +199,7 @@ def blocks(page: str, by_words: bool = True) -> list[Block]:
             current = None
             scope = _SCOPE.get(tag, "").split()
             ends = _SAME.get(tag, "").split() + ["p"]
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1 if any(opened[t] for t in ends) else 0, 0, -1):
                 if stack[k].tag in scope:
                     break
                 if stack[k].tag in ends:
@@ -206,6 +215,8 @@ def blocks(page: str, by_words: bool = True) -> list[Block]:
             at = end.end() if end else n
             continue
         drop, header, word, titled = _judge(tag, m[3])
+        if tag == "form":  # a form around the page is weighed like one that a word condemns
+            word, drop = max(word, MOST), drop or not by_words
         parent = stack[-1]
         if m[3].endswith("/") and tag in ("svg", "path", "use"):
             continue
@@ -214,6 +225,7 @@ def blocks(page: str, by_words: bool = True) -> list[Block]:
             node.word, node.titled = word, titled
         nodes.append(node)
         stack.append(node)
+        opened[tag] += 1
         links += tag == "a"
     text(page[at:])
     _settle(nodes, out)
@@ -245,16 +257,21 @@ def _main_text(page: str, by_words: bool) -> str:
             points = (1 + commas + len(t) / 100) * (1 - density)
         # a block element of its own passes to what is around it; text set directly in a container stays there
         node = b.node.parent if b.node.tag in ("p", "pre", "blockquote", "li", "td", "dd", "dt", *HEADINGS) and b.node.parent else b.node
-        share, level = 1.0, 0
-        while node is not None:
-            nodes[node.order] = node
-            node.size += len(t)
-            node.linked += b.linked
-            if level < 5:
-                node.points += points * share
+        node.size += len(t)
+        node.linked += b.linked
+        share, level, above = 1.0, 0, node
+        while above is not None and level < 5:
+            above.points += points * share
             level += 1
             share = 0.5 if level == 1 else 1 / (2 * level)
+            above = above.parent
+        while node is not None and node.order not in nodes:
+            nodes[node.order] = node
             node = node.parent
+    for node in sorted(nodes.values(), key=lambda x: -x.order):  # what is inside an element comes after it
+        if node.parent is not None:
+            node.parent.size += node.size
+            node.parent.linked += node.linked
     value = lambda x: x.factor * x.points * (1 - min(1.0, x.linked / max(1.0, x.size)))
     best = max(nodes.values(), key=lambda x: (round(value(x), 9), -x.depth, -x.order))
     if value(best) <= 0:
@@ -272,9 +289,12 @@ def _main_text(page: str, by_words: bool) -> str:
         for x in nodes.values():
             if x.parent is wide.parent and value(x) >= least:
                 kept.add(x.order)
+    within: dict[int, bool] = {}
+    for node in sorted(nodes.values(), key=lambda x: x.order):
+        within[node.order] = node.order in kept or node.parent is not None and within[node.parent.order]
     out = []
     for b, t in found:
-        inside = any(a.order in kept for a in _up(b.node))
+        inside = b.node.order in kept or within[b.node.order if b.node.order in within else b.node.parent.order]
         if not inside and wide.tag not in ("article", "main", "html", "body") and b.node.parent is wide.parent:
             inside = b.node.tag in HEADINGS or len(t) > 80 and b.linked < 0.25 * len(t)
         if inside and not _is_menu(b, nodes):

@@ -347,3 +347,32 @@ def test_pipeline_stages_on_a_small_corpus(llm, tmp_path):
     assert seen[4] == seen[3] == seen[2]
     whole = corpus_pipeline.run(llm, str(tmp_path)).agg(F.sum("length").alias("n")).first()["n"]
     assert whole == docs.agg(F.sum("length").alias("n")).first()["n"]
+
+
+_PROSE = "<p>A long first paragraph, with commas, and words, that goes on for a while, and is the text of the page.</p>" * 3
+
+
+def test_a_form_around_the_page_is_no_form():
+    text = H.main_text("<body>" + _PROSE + "</body>")
+    assert len(text) > 250
+    assert H.main_text(f"<body><form id=aspnetForm><div id=content>{_PROSE}</div></form></body>") == text
+    assert H.main_text(f"<form><article>{_PROSE}</article></form>") == text
+    assert H.main_text(f"<article>{_PROSE}<form><p>Your mail</p><label>Send</label></form></article>") == text
+    assert H.main_text("<form>Search <input></form>") == ""
+
+
+def test_quotes_in_attributes():
+    assert H.main_text("<p title=don't>First it's here</p>") == "First it's here"
+    assert H.main_text("<p title='a>b' class=\"x>y\" data-x = 'it\"s>'>Text</p>") == "Text"
+    assert H.main_text("<p ' \">Text</p><p>isn't</p>") == "Text\n\nisn't"
+
+
+def test_deep_pages_take_time_in_proportion():
+    import time
+
+    start = time.process_time()
+    assert H.main_text("<div>" * 8000 + "</span>" * 8000 + _PROSE)
+    assert H.main_text("<div>" * 4000 + "<p>some text, here</p>" * 4000).count("some text") == 4000
+    assert H.main_text("<div>" * 8000 + "<li>a, b</li>" * 8000).count("a, b") == 8000
+    assert H.main_text("<div><p>" * 50_000 + "words, here")
+    assert time.process_time() - start < 8
