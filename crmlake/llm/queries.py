@@ -37,7 +37,7 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").where(crc_mod("doc_id", 3) != 1)
     model = quality_crf.learn(quality_crf.sample(docs, labels))
     return (quality_crf.score(docs, model)
-            .select("doc_id", (crc_mod("doc_id", 3) == 1).alias("held_out"), "score", "predicted"))
+            .select("doc_id", F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score", "predicted"))
 
 
 @query("op2_topk_balltree", """
@@ -114,7 +114,7 @@ def language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = language_crf.learn(docs.where(crc_mod("doc_id", 5) != 0))
     return (language_crf.predict(docs, model)
-            .select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score"))
+            .select("doc_id", F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score"))
 
 
 @query("op8_main_text")
