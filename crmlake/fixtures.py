@@ -63,7 +63,7 @@ def contact_properties() -> dict[str, Column]:
         "zip": text("c_nationkey"),
         "contact-type": F.lower("c_mktsegment"),
         "createdate": F.concat(text(day), F.lit("T00:00:00Z")),
-        "epicore_package": F.lit("unread"),
+        "unread_property": F.lit("unread"),
     }
 
 

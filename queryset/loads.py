@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from crmlake import fixtures as X
-from crmlake.operators import flatten as FL
+from crmlake.operators import edges as OE, flatten as FL
 from crmlake.operators.merge import to_table
 from crmlake.plans import loads as LD
+from crmlake.plans.timeline import union_events
+from crmlake.plans.views import register_views
 from queryset import activities as A, edges as E, quality as Q
 from queryset.activities import ALL_FAMILIES
 from queryset.base import ORACLES, query, ts
@@ -211,7 +213,6 @@ def r11(spark, d):
 
 def timeline_context(spark, d):
     from crmlake.model.objects import DETAIL_TABLES
-    from crmlake.operators import edges as OE
     activities, details, links = A.stored(spark, d)
     tickets = E.tickets(spark, d)
     history = E.contact_history(spark, d).unionByName(
@@ -436,6 +437,32 @@ def r12_changed(spark, d, store):
         F.col("etl_date") == F.lit("2024-01-16 00:00:00").cast("timestamp")).alias("made"))
 
 
+_COUNTED_VIEWS = {
+    "fact_deals": "orders", "fact_activities": "activities",
+    "bridge_activity_contact": "activity_edges where associated_object_type = 'contact'",
+    "bridge_activity_deal": "activity_edges where associated_object_type = 'deal'",
+    "bridge_activity_company": "activity_edges where associated_object_type = 'company'",
+    "bridge_contact_deal": """(select distinct o_custkey, associated_object_id from pairs join activity_edges
+        on associated_object_id = cast(l_suppkey as varchar) and associated_object_type = 'deal')""",
+    "bridge_contact_company": "pairs",
+}
+
+
+@query("v_registered_views", with_(PAIRS, ACTIVITIES, ACTIVITY_EDGES) + "\nunion all ".join(
+    f"select '{name}' as view_name, count(*) as rows from {source}" for name, source in _COUNTED_VIEWS.items()))
+@Q.in_store
+def v_views(spark, d, store):
+    """The reporting views over stored tables, asked by name in SQL."""
+    activities, _, links = A.stored(spark, d)
+    tables = {"deals": Q._deals(spark, d), "activities": activities, "activity_associations": links,
+              "contact_company_associations": OE.contact_company_details(X.contact_company_pages(spark, d))}
+    names = register_views({name: store.write(df, name) for name, df in tables.items()})
+    counts = [spark.sql(f"select '{name}' as view_name, count(*) as rows from {name}") for name in names]
+    for name in names:  # the plans are made; the names are not left behind
+        spark.catalog.dropTempView(name)
+    return union_events(*counts)
+
+
 @query("k6_rebuild", """
 select 'companies' as step, count(*) as rows_before, 0 as rows_after from supplier
 union all select 'contacts', 0, count(*) from customer""")
