@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import logging
+import threading
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
+from pyspark.util import inheritable_thread_target
 
 from crmlake.model.objects import ACTIVITY_SOURCES, DETAIL_TABLES
 from crmlake.model.tables import REFERENCES, TABLES, UNIQUE, key_tells_partition
@@ -136,6 +139,7 @@ class Context:
     watched: dict[str, list[Observation]] = field(default_factory=dict)
     shared: dict[str, DataFrame] = field(default_factory=dict)
     touched: dict[str, list[tuple]] = field(default_factory=dict)
+    lock: threading.RLock = field(default_factory=threading.RLock)
 
     def watch(self, df: DataFrame, name: str, bad: Column) -> DataFrame:
         """Count the bad rows of a frame in the pass that writes the good ones."""
@@ -187,10 +191,11 @@ class Context:
 
     def run_contacts(self) -> DataFrame:
         """Ids, names and emails of this run's contacts, parsed once for all loads that look them up."""
-        if "contacts" not in self.shared:
-            rows = self.usable("contacts").select("source_id", "record_id", "full_name", "email", "seq")
-            self.shared["contacts"] = self.stage(rows, "run-contacts")
-        return self.shared["contacts"]
+        with self.lock:  # steps that run side by side wait for the one that stages it
+            if "contacts" not in self.shared:
+                rows = self.usable("contacts").select("source_id", "record_id", "full_name", "email", "seq")
+                self.shared["contacts"] = self.stage(rows, "run-contacts")
+            return self.shared["contacts"]
 
     def obeying(self, rows: DataFrame, table: str, order: list[str]) -> DataFrame:
         """Rows that keep the rules of their table; the others are set aside, or fail the step.
@@ -247,10 +252,11 @@ class Context:
             if self.owner_overrides is None:
                 return df
             return resolve.resolve_label(df, column, resolve.label_dim(None, self.owner_overrides))
-        if "owners" not in self.shared:  # made and counted once per run
-            dim = resolve.owner_label_dim(
-                resolve.owners_dim(L.owner_rows(self.landed.owners)), self.owner_overrides)
-            self.shared["owners"] = resolve.sized(self.stage(dim, "owners"))
+        with self.lock:
+            if "owners" not in self.shared:  # made and counted once per run
+                dim = resolve.owner_label_dim(
+                    resolve.owners_dim(L.owner_rows(self.landed.owners)), self.owner_overrides)
+                self.shared["owners"] = resolve.sized(self.stage(dim, "owners"))
         return resolve.resolve_label(df, column, self.shared["owners"])
 
     def options(self, pages: DataFrame | None) -> DataFrame:
@@ -362,28 +368,41 @@ def load_object_edges(ctx: Context, source: str | None = None,
     return ctx.merged(table, edges, ("seq", "pos"), within=pairs)
 
 
-def activity_records(ctx: Context, on_error: Callable[[str, Exception], None] | None = None) -> dict[str, DataFrame]:
+def side_by_side(spark: SparkSession, tasks: list[Callable[[], object]], most: int) -> list:
+    """Run tasks on up to ``most`` threads that share the session. All have ended when the first error is raised."""
+    with ThreadPoolExecutor(max(1, min(most, len(tasks)))) as pool:
+        made = [pool.submit(inheritable_thread_target(spark)(task)) for task in tasks]
+        wait(made)
+    return [m.result() for m in made]
+
+
+def activity_records(ctx: Context, on_error: Callable[[str, Exception], None] | None = None,
+                     most: int = 1) -> dict[str, DataFrame]:
     """Records per landed activity type, each payload parsed once and kept with its edges.
 
     A type that cannot be read is given to ``on_error`` and left out; without it the error is raised.
+    ``most`` types are read at a time.
     """
-    records = {}
-    for kind, object_type in ACTIVITY_SOURCES.items():
-        if object_type not in ctx.landed.objects:
-            continue
-        seen = len(ctx.watched.get("activities", ()))
+    def read(kind: str, object_type: str) -> tuple | None:
+        seen = None
         try:
             rows = flatten.flatten_activity_records(ctx.objects(object_type), kind, ctx.as_of)
             rows = rows.withColumn("edges", E.edge_array(F.col("associations"))).drop("associations")
             if ctx.tables is not None:
-                rows = ctx.watch(rows, "activities", F.col("reject_reason").isNotNull())
-            rows = ctx.stage(rows, f"records-{kind.lower()}")
+                seen = Observation()
+                rows = rows.observe(seen, F.count_if(F.col("reject_reason").isNotNull()).alias("failed"))
+            return kind, ctx.stage(rows, f"records-{kind.lower()}"), seen
         except Exception as error:  # noqa: BLE001 - a type may fail for any reason
             if on_error is None:
                 raise
-            ctx.forget("activities", seen)
             on_error(kind, error)
-            continue
+            return None
+
+    landed = [(kind, t) for kind, t in ACTIVITY_SOURCES.items() if t in ctx.landed.objects]
+    records = {}
+    for kind, rows, seen in filter(None, side_by_side(ctx.spark, [lambda one=one: read(*one) for one in landed], most) if landed else ()):
+        if seen is not None:
+            ctx.watched.setdefault("activities", []).append(seen)
         records[kind], bad = flatten.split_valid(rows)
         ctx.reject("activities", bad)
     return records
@@ -488,8 +507,8 @@ def _text(error: Exception) -> str:
 class _Run:
     """The metrics of a full run, and its steps."""
 
-    def __init__(self, ctx: Context):
-        self.ctx, self.metrics = ctx, []
+    def __init__(self, ctx: Context, most: int = 1):
+        self.ctx, self.metrics, self.most = ctx, [], most
 
     def note_failure(self, name: str, error: Exception) -> None:
         log.warning("step %s failed", name, exc_info=error)
@@ -506,7 +525,6 @@ class _Run:
                 self.ctx.forget(name)
             if critical:
                 log.warning("step %s failed", name, exc_info=True)
-                self.ctx.tables.roll_back()
                 raise LoadFailed(name) from error
             self.note_failure(name, error)
             return
@@ -517,14 +535,14 @@ class _Run:
     def activities(self) -> None:
         """Every type alone: one that cannot be read is recorded and the others are loaded."""
         ctx = self.ctx
-        records = activity_records(ctx, lambda kind, error: self.note_failure(DETAIL_TABLES[kind], error))
+        records = activity_records(ctx, lambda kind, error: self.note_failure(DETAIL_TABLES[kind], error), self.most)
         if not records:
             return
         self.step("activities", lambda: load_activities(ctx, records))
         stored = ctx.read("activities")
-        for kind in records:
-            self.step(DETAIL_TABLES[kind], lambda kind=kind: load_details(ctx, kind, records, stored))
-        self.step("activity_associations", lambda: load_activity_edges(ctx, records, stored))
+        side_by_side(ctx.spark, [lambda: self.step("activity_associations", lambda: load_activity_edges(ctx, records, stored)), *[
+            lambda kind=kind: self.step(DETAIL_TABLES[kind], lambda: load_details(ctx, kind, records, stored))
+            for kind in records]], self.most)
 
     def timeline(self) -> None:
         """All families in one pass; if that fails, each alone, and those that can be made are merged."""
@@ -554,32 +572,35 @@ class _Run:
         ctx.tables.write(rows, "rejected")
 
 
-def run_full(ctx: Context, rebuild: bool = False, keep: int = 2) -> DataFrame:
+def run_full(ctx: Context, rebuild: bool = False, keep: int = 2, most: int = 4) -> DataFrame:
     """One full run over the stored tables. Returns one metrics row per step.
 
-    Objects come before the edges that need their ids; a type that has not landed is an empty
-    snapshot. If contacts, companies, deals or tickets fail, what the run has written is taken back,
-    emptied tables of a rebuild included, and :class:`LoadFailed` is raised; any other step, activity
-    type or family of events that fails is recorded and the run goes on. Rejected rows are stored in
-    the table ``rejected``. ``keep`` versions of every table stay.
+    Steps that do not need each other's tables run side by side, ``most`` at a time: first contacts,
+    companies, deals and tickets, then all others, activities before their details and edges, and the timeline
+    last. A type that has not landed is an empty snapshot. If contacts, companies, deals or tickets fail, what
+    the run has written is taken back, emptied tables of a rebuild included, and :class:`LoadFailed` is raised;
+    any other step, activity type or family of events that fails is recorded and the run goes on. Rejected rows
+    are stored in the table ``rejected``. ``keep`` versions of every table stay.
     """
-    tables, run = ctx.tables, _Run(ctx)
+    tables, run = ctx.tables, _Run(ctx, most)
     tables.begin()
     try:
         if rebuild:
             tables.recreate()
-        for name, load in (("contacts", load_contacts), ("companies", load_companies),
-                           ("deals", load_deals), ("tickets", load_tickets)):
-            run.step(name, lambda load=load: load(ctx), critical=True)
-        run.step("contact_company_associations", lambda: load_contact_company_edges(ctx))
-        for name, load in (("communications", load_communications), ("emails", load_emails),
-                           ("notes", load_notes)):
-            if name in ctx.landed.objects:
-                run.step(name, lambda load=load: load(ctx))
+        try:
+            side_by_side(ctx.spark, [lambda name=name, load=load: run.step(name, lambda: load(ctx), critical=True)
+                                     for name, load in (("contacts", load_contacts), ("companies", load_companies),
+                                                        ("deals", load_deals), ("tickets", load_tickets))], most)
+        except LoadFailed:
+            tables.roll_back()
+            raise
         tables.begin()  # what is done so far stays, whatever follows
-        run.step("object_associations", lambda: load_object_edges(ctx))
-        run.activities()
-        run.step("property_histories", lambda: load_property_history(ctx))
+        loads = [("contact_company_associations", load_contact_company_edges), ("object_associations", load_object_edges),
+                 ("property_histories", load_property_history)]
+        loads += [(name, load) for name, load in (("communications", load_communications), ("emails", load_emails),
+                                                  ("notes", load_notes)) if name in ctx.landed.objects]
+        side_by_side(ctx.spark, [run.activities, *[lambda name=name, load=load: run.step(name, lambda: load(ctx))
+                                        for name, load in loads]], most)
         run.timeline()
         run.rejects()
         for table in TABLES:
@@ -587,6 +608,8 @@ def run_full(ctx: Context, rebuild: bool = False, keep: int = 2) -> DataFrame:
     finally:
         ctx.shared.clear()
         tables.drop_staged()
+    place = {name: k for k, name in enumerate(TABLES)}
+    run.metrics.sort(key=lambda m: place.get(m[0].split(":")[0], len(place)))
     return ctx.spark.createDataFrame(run.metrics, METRICS)
 
 

@@ -118,8 +118,9 @@ class Tables:
     def write(self, df: DataFrame, table: str) -> DataFrame:
         """Write a new version in one distributed job and return it as read back."""
         version = max(self._versions(table, committed=False), default=0) + 1
-        self._written.append(f"{self.root}/{table}/v={version}")
-        self._writer(df, table, WHOLE).mode("errorifexists").parquet(self._written[-1])
+        path = f"{self.root}/{table}/v={version}"
+        self._written.append(path)
+        self._writer(df, table, WHOLE).mode("errorifexists").parquet(path)
         return self.read(table)
 
     @staticmethod
