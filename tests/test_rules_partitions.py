@@ -295,3 +295,24 @@ def test_events_of_what_changed_equal_all_events(spark, tmp_path):
     # the wide rows of the others are not made into events
     cut = LD.timeline_families(some)
     assert cut["activities"].count() == 4 and cut["lifecycle"].count() == 1
+
+
+# ---- steps side by side
+
+
+def test_all_tasks_end_before_an_error_is_raised(spark):
+    import time
+
+    ended = []
+
+    def task(k):
+        if k == 0:
+            raise RuntimeError("first")
+        time.sleep(0.2)
+        ended.append(spark.range(k).count())
+        return k
+
+    with pytest.raises(RuntimeError):
+        LD.side_by_side(spark, [lambda k=k: task(k) for k in range(4)], 2)
+    assert sorted(ended) == [1, 2, 3]
+    assert LD.side_by_side(spark, [lambda k=k: task(k) for k in (3, 1)], 4) == [3, 1]
