@@ -6,16 +6,22 @@ documents, and tokens of like frequency by another hash for each order. Candidat
 of the first order's prefixes, and in every order their prefixes must share as many tokens as similar
 sets of their sizes do (at least one); what passes all orders is verified on whole sets.
 
-Four passes, all distributed:
+Passes, all distributed:
 
 1. every text is shingled; equal sets (a 128-bit digest) form a class, and a sketch of fixed size
    counts tokens over all documents;
-2. every set's prefix of the first order is written; tokens in one set only are dropped;
-3. links are sought in rounds. Each set is verified against one hub per round (the smallest id of a
-   list, then others by hash), and linked sets become one component. Only tokens whose sets are in
-   several components remain;
-4. what remains is verified pair by pair, but only pairs of different components: a pair inside one
-   component cannot change the result. No pair of different components is left out.
+2. every set's prefix of the first order is written, and marks (16 bits a token) of its prefixes in all
+   orders; tokens in one set only are dropped;
+3. links are sought in rounds. Each set is compared with one hub per round: that of its lists which it
+   meets most often (a list's hub is its smallest id, later others by hash). The marks of a hub's
+   members go to the hub; what may share enough in every order follows with its text, and is verified on
+   whole sets. Linked sets become one component, and only tokens whose sets are in several remain;
+4. of what remains, pairs of different components are counted by the tokens they share, which is the
+   first order's filter; those that pass it go the same way. A pair inside one component cannot change
+   the result. No pair of different components is left out.
+
+A hub's members are dealt in blocks of ``BLOCK``, each with a copy of the hub, and pass it as a sorted
+stream, so no group is held in memory.
 
 So a group of thousands of near copies costs a few verifications per member, not all its pairs.
 
@@ -44,8 +50,10 @@ ORDERS = 3
 #: Counters of the frequency sketch, and the parts in which they are added up.
 CELLS = 1 << 24
 PARTS = 64
-#: Rounds of verification against hubs before what is left is paired.
-HUB_ROUNDS = 6
+#: Rounds of verification against hubs before what is left is paired; they end as well when one brings little.
+HUB_ROUNDS = 8
+#: Members of a hub that are compared with one copy of it.
+BLOCK = 128
 #: Rounds end when what is left is at most so many co-occurrences for each document in a list.
 LEFT_PER_DOCUMENT = 64
 #: Ids that may be broadcast; more are joined by a shuffle.
@@ -103,6 +111,22 @@ def prefix(tokens: np.ndarray, level: np.ndarray, order: int, per_cent: int = PE
     return tokens[np.argpartition(key, size - 1)[:size]] if size < n else tokens
 
 
+def marks(tokens: np.ndarray) -> np.ndarray:
+    """16 bits of each token: prefixes share at most as many tokens as marks of one are among the other's."""
+    return (mix(tokens, 301) >> np.uint64(48)).astype(np.uint16)
+
+
+def fewest_shared(n: int, m: int, per_cent: int = PER_CENT) -> int:
+    """The fewest tokens that prefixes of similar sets of n and m tokens share, in any order.
+
+    Where the prefix that ends first in the order ends, all common tokens so far are in both prefixes;
+    beyond, that set has no more than ceil(t n) - 1 tokens. So the sets share at most what the prefixes
+    share and the larger of both rests.
+    """
+    needed = -(-(n + m) * per_cent // (100 + per_cent))
+    return max(1, needed - max(least_overlap(n, per_cent), least_overlap(m, per_cent)) + 1)
+
+
 def _arrays(values: list[np.ndarray]) -> pa.Array:
     sizes = np.cumsum([0, *map(len, values)])
     flat = np.concatenate(values) if values else np.zeros(0, np.uint64)
@@ -128,12 +152,21 @@ def profile(texts: DataFrame, width: int = WORDS) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(PARTS, pa.int64()), pa.nulls(PARTS, pa.int64()), pa.nulls(PARTS, pa.binary()),
                  pa.array(range(PARTS), pa.int32()),
-                 pa.array([zlib.compress(p.tobytes(), 1) for p in parts], pa.binary())],
+                 pa.array([zlib.compress(_planes(p), 1) for p in parts], pa.binary())],
                 ["doc_id", "n", "set", "part", "counts"])
 
     return texts.mapInArrow(run, "doc_id long, n long, set binary, part int, counts binary")
 
 
+def _planes(counts: np.ndarray) -> bytes:
+    """Two-byte counters with all low bytes before all high ones, which are mostly 0 and pack to nothing."""
+    return counts.view(np.uint8).reshape(-1, 2).T.tobytes()
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(2, -1).T).view("<u2").ravel()
+
+
 def _count(counts: np.ndarray, tokens: np.ndarray) -> None:
     cells, times = np.unique(_cells(tokens), return_counts=True)
     counts[cells] += times.astype(np.uint32)
@@ -145,7 +178,7 @@ def frequency_levels(profiles: DataFrame) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for part, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                counts = np.frombuffer(zlib.decompress(packed), "<u2")
+                counts = _from_planes(zlib.decompress(packed))
                 if part in sums:
                     sums[part] += counts
                 else:
@@ -184,15 +217,18 @@ def join_documents(docs: DataFrame, width: int = WORDS, per_cent: int = PER_CENT
             for k, tokens in shingle_sets(batch.column(1), width):
                 if len(tokens) >= smallest and (d := digest(tokens)) not in seen:
                     seen.add(d)
-                    rows.append((ids[k], len(tokens), prefix(tokens, levels.value, 0, per_cent)))
+                    heads = [prefix(tokens, levels.value, o, per_cent) for o in range(ORDERS)]
+                    rows.append((ids[k], len(tokens), heads[0], b"".join(marks(h).tobytes() for h in heads)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()),
-                 _arrays([r[2] for r in rows])], ["doc", "n", "tokens"])
+                 _arrays([r[2] for r in rows]), pa.array([r[3] for r in rows], pa.binary())],
+                ["doc", "n", "tokens", "marks"])
 
-    written = texts.mapInArrow(prefixes, "doc long, n int, tokens array<long>").checkpoint()
-    tokens = written.select(F.explode("tokens").alias("token"))
-    shared = (tokens.groupBy("token").agg(F.count("*").alias("k")).where("k > 1").select("token").checkpoint())
-    in_several = spark.sparkContext.broadcast(member_filter(shared))
+    written = texts.mapInArrow(prefixes, "doc long, n int, tokens array<long>, marks binary").checkpoint()
+    tokens = written.select(F.explode("tokens").alias("token"), "doc", "n")
+    shared = (tokens.groupBy("token").agg(F.min(F.struct("doc", "n")).alias("h"), F.max("doc").alias("last"))
+              .where("h.doc < last").select("token", F.col("h.doc").alias("hub"), F.col("h.n").alias("hub_n")).checkpoint())
+    in_several = spark.sparkContext.broadcast(member_filter(shared.select("token")))
 
     def probably_shared(batches):
         for batch in batches:
@@ -205,9 +241,9 @@ def join_documents(docs: DataFrame, width: int = WORDS, per_cent: int = PER_CENT
                 [pa.array(flat[kept]), batch.column(0).take(at), batch.column(1).take(at)], ["token", "doc", "n"])
 
     lists = (written.mapInArrow(probably_shared, "token long, doc long, n int")
-             .join(_small(shared), "token", "left_semi").checkpoint())
+             .join(shared, "token").checkpoint())
     release(spark)
-    links = _links(texts, written, lists, levels, width, per_cent)
+    links = _links(texts, written, lists, width, per_cent)
 
     first_of = sets.where("n > 0").join(classes, "set").select("doc_id", "first").where("doc_id <> first")
     if links is not None:
@@ -286,111 +322,146 @@ def _fits(n, m, per_cent: int):
     return 100 * F.least(n, m) >= per_cent * F.greatest(n, m)
 
 
-def _prefixes_fit(p, q, n, m, per_cent: int):
-    """Whether prefixes p, q of sets of n and m tokens share enough for the sets to be similar.
+def _against_hubs(pairs: DataFrame, rows: DataFrame, held, similar) -> DataFrame:
+    """The pairs (a, b) for which ``similar(held(row of a), held(row of b))`` holds for any rows of both.
 
-    Where the prefix that ends first in the order ends, all common tokens so far are in both prefixes;
-    beyond, that set has no more than ceil(t n) - 1 tokens. So the sets share at most what the prefixes
-    share and the larger of both rests.
+    ``rows`` has the columns doc, n, data. Each member's row is sent to its hub ``a`` once, each hub's row
+    to every block of its members, and sorted to stand before them.
     """
-    least = lambda c: F.ceil(c * per_cent / 100)
-    needed = F.ceil((n + m) * per_cent / (100 + per_cent))
-    return F.size(F.array_intersect(p, q)) >= F.greatest(F.lit(1), needed - F.greatest(least(n), least(m)) + 1)
-
+    sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    members = (pairs.join(sizes, "a")
+               .select("a", F.expr("pmod(xxhash64(b), blocks)").cast("int").alias("block"), "b"))
+    hubs = members.select("a", "block", F.col("a").alias("b")).distinct()
+    sent = (members.withColumn("member", F.lit(1)).union(hubs.withColumn("member", F.lit(0)))
+            .join(rows.withColumnRenamed("doc", "b"), "b")
+            .repartition("a", "block").sortWithinPartitions("a", "block", "member")
+            .select("a", "block", "member", "b", "n", "data"))
 
-def _links(texts: DataFrame, written: DataFrame, lists: DataFrame, levels, width: int,
-           per_cent: int) -> DataFrame | None:
+    def run(batches):
+        at, hub, seen = None, [], set()
+        for batch in batches:
+            columns = [batch.column(i).to_pylist() for i in range(6)]
+            found: list[tuple[int, int]] = []
+            for a, block, member, b, n, data in zip(*columns):
+                if at != (a, block):
+                    at, hub, seen = (a, block), [], set()
+                if member:
+                    one = held(n, data)
+                    if any(similar(h, one) for h in hub):
+                        found.append((a, b))
+                elif data not in seen:  # not a repeated row
+                    seen.add(data)
+                    hub.append(held(n, data))
+            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    return sent.mapInArrow(run, "a long, b long").distinct()
+
+
+def _links(texts: DataFrame, written: DataFrame, lists: DataFrame, width: int, per_cent: int) -> DataFrame | None:
     """Verified links (a, b) that connect all that any link connects, or None."""
+    spark = texts.sparkSession
     count = lists.select("doc").distinct().count()
-    orders = [f"p{o}" for o in range(1, ORDERS)]
 
-    def whole(wanted):
+    def only(ids):
+        """Rows (doc, n, data) of the texts that the filter lets through."""
         def run(batches):
-            seen: set[tuple] = set()
             for batch in batches:
-                batch = batch.filter(pa.array(passes_filter(batch.column(0).to_numpy(), wanted.value)))
-                ids, rows = batch.column(0).to_pylist(), []
-                for k, tokens in shingle_sets(batch.column(1), width):
-                    if (row := (ids[k], digest(tokens))) in seen:  # a repeated row of this task
-                        continue
-                    seen.add(row)
-                    rows.append((ids[k], tokens, [prefix(tokens, levels.value, o, per_cent) for o in range(1, ORDERS)]))
+                batch = batch.filter(pa.array(passes_filter(batch.column(0).to_numpy(), ids.value)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[0] for r in rows], pa.int64()), pa.array([len(r[1]) for r in rows], pa.int32()),
-                     _arrays([r[1] for r in rows])] + [_arrays([r[2][o] for r in rows]) for o in range(ORDERS - 1)],
-                    ["doc", "n", "tokens", *orders])
+                    [batch.column(0), pa.array([0] * batch.num_rows, pa.int32()), batch.column(1)], ["doc", "n", "data"])
 
         return run
 
-    schema = "doc long, n int, tokens array<long>, " + ", ".join(f"{p} array<long>" for p in orders)
+    def prefixes(n, data):
+        return n, np.frombuffer(data, np.uint16).reshape(ORDERS, -1)
 
-    def docs_of(pairs: DataFrame) -> DataFrame:
-        return _small(pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct().checkpoint())
+    def share_enough(x, y):
+        least = fewest_shared(x[0], y[0], per_cent)
+        return all(np.isin(p, q).sum() >= least for p, q in zip(x[1], y[1]))
 
-    def both(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-        """The pairs with the rows of either end, all columns with the end's name behind theirs."""
-        side = lambda s: rows.select(*[F.col(c).alias(s if c == "doc" else f"{c}_{s}") for c in rows.columns])
-        return pairs.join(side("a"), "a").join(side("b"), "b")
+    def whole(_, data):
+        return next(t for _, t in shingle_sets(pa.array([data], pa.string()), width))
 
-    def passes(pairs: DataFrame, name: str) -> DataFrame:
-        return pairs.where(_prefixes_fit(f"{name}_a", f"{name}_b", F.col("n_a"), F.col("n_b"), per_cent))
+    def linked(x, y):
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        return 100 * both >= per_cent * (len(x) + len(y) - both)
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Those of ``pairs`` (a, b) that pass all orders' filters and then the exact test.
 
-        Whole sets are made, by another pass over the texts, only of documents whose pairs pass the
-        first order's filter.
+        Texts are read again, and sent to hubs, only of documents whose pairs pass every filter.
         """
-        heads = written.join(docs_of(pairs), "doc", "left_semi")
-        found = passes(both(pairs, heads), "tokens").select("a", "b").distinct().checkpoint()
-        release(texts.sparkSession)
-        wanted = texts.sparkSession.sparkContext.broadcast(member_filter(
-            found.select("a").union(found.select("b")).distinct()))
-        sets = texts.mapInArrow(whole(wanted), schema).checkpoint()
-        found = both(found, sets)
-        for p in orders:
-            found = passes(found, p)
-        found = found.withColumn("both", F.size(F.array_intersect("tokens_a", "tokens_b")))
-        union = F.col("n_a") + F.col("n_b") - F.col("both")
-        return found.where(100 * F.col("both") >= per_cent * union).select("a", "b").checkpoint()
-
-    links, left = None, lists.withColumn("of", F.col("doc"))
-    for r in range(HUB_ROUNDS):
-        release(texts.sparkSession)
-        if left.isEmpty():
-            return links
-        rank = F.col("doc") if r == 0 else F.xxhash64("doc", F.lit(r))
-        hubs = left.groupBy("token").agg(F.min(F.struct(rank.alias("rank"), "doc", "n", "of")).alias("h"))
-        pairs = (left.join(hubs, "token").where(F.col("of") != F.col("h.of")).where(_fits(F.col("n"), F.col("h.n"), per_cent))
-                 .groupBy("doc").agg(F.min("h").alias("h"))
-                 .select(F.col("doc").alias("b"), F.col("h.doc").alias("a")).checkpoint())
-        found = verified(pairs)
+        heads = written.select("doc", "n", F.col("marks").alias("data"))
+        found = _against_hubs(pairs, heads, prefixes, share_enough).checkpoint()
+        release(spark)
+        ids = spark.sparkContext.broadcast(member_filter(found.select("a").union(found.select("b")).distinct()))
+        rows = texts.mapInArrow(only(ids), "doc long, n int, data string")
+        return _against_hubs(found, rows, whole, linked).checkpoint()
+
+    links, before, left = None, float("inf"), lists.withColumn("of", F.col("doc")).withColumn("hub_of", F.col("hub"))
+    for r in range(1, HUB_ROUNDS + 1):
+        release(spark)
+        pairs = (left.where("of <> hub_of").where(_fits(F.col("n"), F.col("hub_n"), per_cent))
+                 .groupBy("doc", "hub").agg(F.count("*").alias("k"))
+                 .groupBy("doc").agg(F.max(F.struct("k", "hub")).alias("h"))
+                 .select(F.col("doc").alias("b"), F.col("h.hub").alias("a")).checkpoint())
+        found = verified(pairs) if not pairs.isEmpty() else pairs
         if not found.isEmpty():
             links = found if links is None else links.union(found)
-            left = _still_apart(lists, components(links).checkpoint())
+        left = _still_apart(lists, links, r)
         # pairs that remain, at most: of each token, those in different components
         per = left.groupBy("token", "of").agg(F.count("*").cast("double").alias("k"))
         rest = per.groupBy("token").agg(((F.sum("k") ** 2 - F.sum(F.col("k") ** 2)) / 2).alias("pairs"))
         total = rest.agg(F.coalesce(F.sum("pairs"), F.lit(0.0))).first()[0]
-        if total <= LEFT_PER_DOCUMENT * count:
+        if total <= LEFT_PER_DOCUMENT * count or total > 0.75 * before:
             break
-    release(texts.sparkSession)
-    one = left.select("token", F.col("doc").alias("a"), F.col("n").alias("na"), F.col("of").alias("oa"))
-    two = left.select("token", F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("of").alias("ob"))
-    pairs = (one.join(two, "token").where("a < b AND oa <> ob").where(_fits(F.col("na"), F.col("nb"), per_cent))
-             .select("a", "b").distinct().checkpoint())
+        before = total
+    if total == 0:
+        return links
+    release(spark)
+    # sizes that fit are in the same band or in neighbouring ones
+    band = F.floor(F.log(F.col("n").cast("double")) / max(float(np.log(100 / per_cent)) * (1 + 1e-9), 1e-3))
+    rows = left.select("token", "doc", "n", "of", band.alias("band"))
+    one = rows.select("token", F.col("doc").alias("a"), F.col("n").alias("na"), F.col("of").alias("oa"), "band")
+    two = rows.select("token", F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("of").alias("ob"),
+                      F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"))
+    needed = (F.ceil((F.col("na") + F.col("nb")) * per_cent / (100 + per_cent))
+              - F.ceil(F.greatest("na", "nb") * per_cent / 100) + 1)
+    pairs = (one.join(two, ["token", "band"]).where("a < b AND oa <> ob").where(_fits(F.col("na"), F.col("nb"), per_cent))
+             .groupBy("a", "b").agg(F.count("*").alias("k"), F.min(needed).alias("needed"))
+             .where("k >= needed").select("a", "b").checkpoint())
     found = verified(pairs)
     if found.isEmpty():
         return links
     return found if links is None else links.union(found)
 
 
-def _still_apart(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """The lists with each document's component, without tokens that are in one component only."""
-    known = (lists.join(labels.withColumnRenamed("node", "doc"), "doc", "left")
-             .select("token", "doc", "n", F.coalesce("label", "doc").alias("of")))
-    several = (known.groupBy("token").agg(F.min("of").alias("x"), F.max("of").alias("y"))
-               .where("x <> y").select("token"))
+def _labels(links: DataFrame) -> DataFrame:
+    """(node, label): a node that is connected with ``node``, mostly the smallest within four links.
+
+    It costs two joins, not rounds until nothing changes: nodes with one label are connected, and those
+    that could have the same one but do not only stay apart for longer.
+    """
+    both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
+    near = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")).checkpoint()
+    wider = (both.join(near.select(F.col("a").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("label")))
+    wider = wider.select(F.col("a").alias("node"), "label").checkpoint()
+    again = wider.select(F.col("node").alias("label"), F.col("label").alias("beyond"))
+    return (wider.join(again, "label", "left")
+            .select("node", F.least("label", "beyond").alias("label")).checkpoint())
+
+
+def _still_apart(lists: DataFrame, links: DataFrame | None, r: int) -> DataFrame:
+    """The lists with each document's component and another hub, without tokens that are in one component only."""
+    known = lists.select("token", "doc", "n")
+    if links is None:
+        known = known.withColumn("of", F.col("doc"))
+    else:
+        known = (known.join(_labels(links).withColumnRenamed("node", "doc"), "doc", "left")
+                 .select("token", "doc", "n", F.coalesce("label", "doc").alias("of")))
+    hub = F.min(F.struct(F.xxhash64("doc", F.lit(r)).alias("rank"), "doc", "n", "of"))
+    several = (known.groupBy("token").agg(F.min("of").alias("x"), F.max("of").alias("y"), hub.alias("h")).where("x <> y")
+               .select("token", F.col("h.doc").alias("hub"), F.col("h.n").alias("hub_n"), F.col("h.of").alias("hub_of")))
     return known.join(several, "token").checkpoint()
 
 

@@ -143,6 +143,26 @@ def test_jaccard_join_on_repeated_rows_and_none(docs):
     assert {tuple(r) for r in J.join_documents(apart).collect()} == {(0, 2, 0), (1, 2, 1)}
 
 
+def test_jaccard_join_of_hot_groups(docs, monkeypatch):
+    """Many edits of one text, many short texts around one passage, one hub's members in several blocks."""
+    monkeypatch.setattr(J, "BLOCK", 4)
+    monkeypatch.setattr(J, "LEFT_PER_DOCUMENT", 0)
+    pick = random.Random(3)
+    word = lambda: "".join(pick.choice("abcdefghij") for _ in range(5))
+    base, passage, texts = [word() for _ in range(80)], [word() for _ in range(24)], []
+    for _ in range(60):
+        edited = list(base)
+        for _ in range(pick.randint(0, 3)):
+            edited[pick.randrange(80)] = word()
+        texts.append(" ".join(edited))
+    texts += [" ".join(passage[:pick.randint(18, 24)] + [word() for _ in range(pick.randint(0, 6))]) for _ in range(60)]
+    texts += [texts[0]] * 5
+    expected = plain_components(dict(enumerate(texts)))
+    assert len({c for _, c in expected.values()}) > 5
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in J.join_documents(docs(*texts)).collect()}
+    assert got == expected
+
+
 def test_prefixes_of_similar_sets_share_in_every_order():
     pick = random.Random(0)
     level = np.zeros(J.CELLS, np.uint8)
@@ -156,7 +176,9 @@ def test_prefixes_of_similar_sets_share_in_every_order():
             for o in range(J.ORDERS):
                 shared = len(np.intersect1d(J.prefix(a, level, o), J.prefix(b, level, o)))
                 needed = -(-(len(a) + len(b)) * 80 // 180) - max(J.least_overlap(len(a)), J.least_overlap(len(b))) + 1
-                assert shared >= max(1, needed)
+                assert shared >= max(1, needed) == J.fewest_shared(len(a), len(b))
+                p, q = (J.marks(J.prefix(x, level, o)) for x in (a, b))
+                assert min(np.isin(p, q).sum(), np.isin(q, p).sum()) >= shared
 
 
 def test_components_of_chains_and_stars(llm):
