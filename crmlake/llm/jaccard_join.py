@@ -13,7 +13,7 @@ Passes, all distributed:
 2. every set's prefix of the first order is written, and marks (16 bits a token) of its prefixes in all
    orders; tokens in one set only are dropped;
 3. links are sought in rounds. Each set is compared with one hub per round: that of its lists which it
-   meets most often (a list's hub is its smallest id, later others by hash). The marks of a hub's
+   meets most often (a list's hub is one of its ids by hash, another in each round). The marks of a hub's
    members go to the hub; what may share enough in every order follows with its text, and is verified on
    whole sets. Linked sets become one component, and only tokens whose sets are in several remain;
 4. of what remains, pairs of different components are counted by the tokens they share, which is the
@@ -225,10 +225,10 @@ def join_documents(docs: DataFrame, width: int = WORDS, per_cent: int = PER_CENT
                 ["doc", "n", "tokens", "marks"])
 
     written = texts.mapInArrow(prefixes, "doc long, n int, tokens array<long>, marks binary").checkpoint()
-    tokens = written.select(F.explode("tokens").alias("token"), "doc", "n")
-    shared = (tokens.groupBy("token").agg(F.min(F.struct("doc", "n")).alias("h"), F.max("doc").alias("last"))
-              .where("h.doc < last").select("token", F.col("h.doc").alias("hub"), F.col("h.n").alias("hub_n")).checkpoint())
-    in_several = spark.sparkContext.broadcast(member_filter(shared.select("token")))
+    tokens = written.select(F.explode("tokens").alias("token"))
+    shared = tokens.groupBy("token").agg(F.count("*").alias("k")).where("k > 1").select("token").checkpoint()
+    release(spark)
+    in_several = spark.sparkContext.broadcast(member_filter(shared))
 
     def probably_shared(batches):
         for batch in batches:
@@ -241,7 +241,7 @@ def join_documents(docs: DataFrame, width: int = WORDS, per_cent: int = PER_CENT
                 [pa.array(flat[kept]), batch.column(0).take(at), batch.column(1).take(at)], ["token", "doc", "n"])
 
     lists = (written.mapInArrow(probably_shared, "token long, doc long, n int")
-             .join(shared, "token").checkpoint())
+             .join(_small(shared), "token", "left_semi").checkpoint())
     release(spark)
     links = _links(texts, written, lists, width, per_cent)
 
@@ -398,7 +398,7 @@ def _links(texts: DataFrame, written: DataFrame, lists: DataFrame, width: int, p
         rows = texts.mapInArrow(only(ids), "doc long, n int, data string")
         return _against_hubs(found, rows, whole, linked).checkpoint()
 
-    links, before, left = None, float("inf"), lists.withColumn("of", F.col("doc")).withColumn("hub_of", F.col("hub"))
+    links, before, left = None, float("inf"), _still_apart(lists, None, 0)
     for r in range(1, HUB_ROUNDS + 1):
         release(spark)
         pairs = (left.where("of <> hub_of").where(_fits(F.col("n"), F.col("hub_n"), per_cent))
@@ -408,6 +408,7 @@ def _links(texts: DataFrame, written: DataFrame, lists: DataFrame, width: int, p
         found = verified(pairs) if not pairs.isEmpty() else pairs
         if not found.isEmpty():
             links = found if links is None else links.union(found)
+        release(spark)
         left = _still_apart(lists, links, r)
         # pairs that remain, at most: of each token, those in different components
         per = left.groupBy("token", "of").agg(F.count("*").cast("double").alias("k"))
