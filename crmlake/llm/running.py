@@ -12,7 +12,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -25,7 +24,7 @@ BASE = 0x5DEECE66D9E3779B97F4A7C15F39CC0B % PRIME
 
 def positions(df: DataFrame, key: str, order: list[Column], out: str) -> DataFrame:
     """``df`` with the row's number within its key, from 0, in ``order``. Rows alike in key and order are
-    numbered in any order. The result is a checkpoint, sorted by key and order."""
+    numbered in any order. The result reads a checkpoint and is sorted by key and order."""
     return _running(df, key, order, out, None, None)
 
 
@@ -38,23 +37,25 @@ def chains(df: DataFrame, key: str, order: list[Column], digest: str, amount: st
 
 
 def _running(df, key, order, out, read, write) -> DataFrame:
-    tie, = temporary("tie", avoid=df.columns)
+    tie, part = temporary("tie", "part", avoid=[*df.columns, out, *(write or ())])
     by = [F.col(key), *order]
-    # the last column parts rows that are alike in all others
+    # the last column parts rows that are alike in all others. Rows carry the number of their task: the result is
+    # worked out again wherever it is read, and below a union or a coalesce the tasks have other numbers
     sorted_ = (df.withColumn(tie, F.monotonically_increasing_id())
-               .repartitionByRange(*by, F.col(tie)).sortWithinPartitions(*by).drop(tie).checkpoint())
+               .repartitionByRange(*by, F.col(tie)).sortWithinPartitions(*by).drop(tie)
+               .withColumn(part, F.spark_partition_id()).checkpoint())
     key_type = sorted_.schema[key].dataType
     seen = StructType([StructField("part", LongType()), StructField("first", key_type), StructField("last", key_type),
                        StructField("whole", LongType()), StructField("n", LongType()),
                        StructField("chain", StringType()), StructField("amount", LongType())])
-    ends = sorted_.select(key, *(read or ())).mapInArrow(lambda batches: _ends(batches, key, read), seen)
+    ends = sorted_.select(key, part, *(read or ())).mapInArrow(lambda batches: _ends(batches, key, part, read), seen)
     brought = _brought(ends.collect())  # one row of a few numbers for each task
     added = [StructField(out, LongType())]
     if write:
         added += [StructField(write[0], StringType()), StructField(write[1], StringType()),
                   StructField(write[2], LongType())]
-    return sorted_.mapInArrow(lambda batches: _numbered(batches, key, read, brought),
-                              StructType(sorted_.schema.fields + added))
+    return sorted_.mapInArrow(lambda batches: _numbered(batches, key, part, read, brought),
+                              StructType(sorted_.schema.fields + added)).drop(part)
 
 
 def _brought(rows: list) -> dict:
@@ -127,25 +128,31 @@ def _walk(batch: pa.RecordBatch, key: str, read: tuple | None, state: _State):
     return (numbers,)
 
 
-def _ends(batches: Iterator[pa.RecordBatch], key: str, read: tuple | None) -> Iterator[pa.RecordBatch]:
-    state, first = _State(None), None
+def _part(batch: pa.RecordBatch, part: str) -> int:
+    return batch.column(batch.schema.get_field_index(part))[0].as_py()
+
+
+def _ends(batches: Iterator[pa.RecordBatch], key: str, part: str, read: tuple | None) -> Iterator[pa.RecordBatch]:
+    state, first, number = _State(None), None, None
     for batch in batches:
         if batch.num_rows:
             if not state.begun:
-                first = batch.column(batch.schema.get_field_index(key))[0]
+                first, number = batch.column(batch.schema.get_field_index(key))[0], _part(batch, part)
             _walk(batch, key, read, state)
     if state.begun:
         yield pa.RecordBatch.from_arrays(
-            [pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([first.as_py()], first.type),
+            [pa.array([number], pa.int64()), pa.array([first.as_py()], first.type),
              pa.array([state.key], first.type), pa.array([int(state.groups == 1)], pa.int64()),
              pa.array([state.n], pa.int64()), pa.array([f"{state.chain:x}"]), pa.array([state.amount], pa.int64())],
             ["part", "first", "last", "whole", "n", "chain", "amount"])
 
 
-def _numbered(batches: Iterator[pa.RecordBatch], key: str, read: tuple | None, brought: dict) -> Iterator[pa.RecordBatch]:
-    state = _State(brought.get(TaskContext.get().partitionId()))
+def _numbered(batches: Iterator[pa.RecordBatch], key: str, part: str, read: tuple | None,
+              brought: dict) -> Iterator[pa.RecordBatch]:
+    state = None
     for batch in batches:
         if batch.num_rows:
+            state = state or _State(brought.get(_part(batch, part)))
             numbers, *rest = _walk(batch, key, read, state)
             columns = [pa.array(numbers)]
             if rest:

@@ -109,6 +109,28 @@ def test_trie_equals_brute_force(llm, block):
     assert tree_of(conversations(llm, rows).repartition(5), block) == brute_trie(rows)
 
 
+def test_trie_of_conversations_that_go_over_task_ends(llm):
+    rows = odd_conversations()
+    llm.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert tree_of(conversations(llm, rows).repartition(5)) == brute_trie(rows)
+        assert tree_of(conversations(llm, rows).repartition(3), 3) == brute_trie(rows)
+    finally:
+        llm.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_positions_below_a_union_and_a_coalesce(llm):
+    rows = [(key, i) for key, n in ((1, 300), (2, 5), (3, 400)) for i in range(n)]
+    llm.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = positions(llm.createDataFrame(rows, "k long, o long").repartition(3), "k", [F.col("o")], "at")
+        other = llm.range(0, 8, 1, 3).selectExpr("id as k", "0L as o", "0L as at")
+        assert got.rdd.getNumPartitions() > 2
+        assert all(r["at"] == r["o"] for df in (other.unionByName(got), got.coalesce(2), got.limit(650)) for r in df.collect())
+    finally:
+        llm.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_trie_without_borrowed_starts_and_over_chunks(llm, monkeypatch):
     monkeypatch.setattr(T, "CHUNK", 4)  # a long conversation and a node of many ids take many chunks
     rows = odd_conversations()
