@@ -119,3 +119,18 @@ def test_tables_and_properties():
     for object_type, names in PROPERTIES.items():
         assert set(read_properties(object_type)) <= set(names)
     assert len(PROPERTIES) == 11
+
+
+def test_labels_of_an_expression_are_read_once(spark):
+    from crmlake.functions.associations import all_labels, primary_label
+
+    df = spark.range(1).select(F.from_json(
+        F.lit('[{"label": " "}, {"label": "b"}, {"label": "B"}, {"label": "c"}, {"label": 5}]'),
+        "array<struct<label:variant>>").alias("types"))
+    made = df.select(TX.labels_json(all_labels(F.col("types")), primary_label(F.col("types"))).alias("j"))
+    assert made.first()["j"] == '["b","c"]'
+    # once for the list and once for its first label, not again for every label that is compared
+    rows = spark.range(2).select(F.from_json(F.concat(F.lit("["), F.lit("]")), "array<struct<label:variant>>").alias("types"), "id")
+    plan = rows.select(TX.labels_json(all_labels(F.col("types")), primary_label(F.col("types"))).alias("j"))
+    text = plan._jdf.queryExecution().analyzed().toString()
+    assert text.count("schema_of_variant(") == 2
