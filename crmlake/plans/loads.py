@@ -455,14 +455,17 @@ def load_property_history(ctx: Context, pairs=HISTORY_PROPERTIES) -> DataFrame:
     return ctx.merged(table, rows, ("pos",), within=within)
 
 
-def timeline_families(ctx: Context) -> dict[str, DataFrame]:
-    """The event families; with ``events`` set to ``changed`` of what this run inserted or updated alone."""
+def timeline_families(ctx: Context, apart: bool = False) -> dict[str, DataFrame]:
+    """The event families; with ``events`` set to ``changed`` of what this run inserted or updated alone.
+
+    Families that share their joins come as one, unless they are to be made ``apart``.
+    """
     details = {kind: ctx.read(table) for kind, table in DETAIL_TABLES.items()}
     tables = (ctx.read("activities"), details, ctx.read("activity_associations"), ctx.read("tickets"),
               ctx.read("object_associations"), ctx.read("property_histories"))
     if ctx.events == CHANGED_EVENTS:
         tables = TL.only_changed(*tables, ctx.as_of, lambda keys, name: resolve.sized(ctx.stage(keys, name)))
-    return TL.build_events(*tables, ctx.as_of)
+    return TL.build_events(*tables, ctx.as_of, apart)
 
 
 def _timeline(ctx: Context, families) -> DataFrame:
@@ -550,7 +553,7 @@ class _Run:
 
         def alone() -> DataFrame:
             made = {}
-            for name, events in timeline_families(ctx).items():
+            for name, events in timeline_families(ctx, apart=True).items():
                 try:
                     made[name] = ctx.stage(events, f"events-{name}")
                 except Exception as error:  # noqa: BLE001 - a family may fail for any reason
