@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from crmlake.functions.associations import all_labels, last_type, target_id
+from crmlake.functions.associations import all_labels, last_type, plain_target_id, target_id
 from crmlake.functions.text import label_list
 from crmlake.operators import edges as E
 from crmlake.sources import landed as L
@@ -61,6 +61,30 @@ def test_plain_batches_are_not_read_by_kind(spark):
     assert sum(told) <= 3
 
 
+def test_ends_read_as_texts_equal_ends_by_kind(spark):
+    """Ids in every form: strings, whole numbers as they are written, and values that are no ids."""
+    ids = ["5", '"5"', "-5", "-0", "0", "05", '"-0"', "5.0", "5e1", "true", "null", "{\"id\":1}", "[1]", '""', '" "', "'5'",
+           "999999999999999999", "9223372036854775807", "9223372036854775808", "-9223372036854775808", '"a\\"id\\":true"', "NaN"]
+    pages = ODD + [form.replace("?", i) for i in ids for form in (
+        '{"results":[{"from":{"id" : ? },"to":[{"toObjectId":?,"id":7},{"id":?\n}, {"id":"b","toObjectId":"c"}]}]}',
+        '{"results":[{"from":{"x":1,"id":?},"to":[{"\\u0069d":?}]},{"from":?,"to":[{"id":3}]},{"from":{"id":4},"to":?}]}',
+        "{'results':[{'from':{'id':?},'to':[{'toObjectId':?}]}]}", '{"results":[{"from":{"id":1,"id":?},"to":[{"id":?,"id":2},?]}]}')]
+    pages = spark.createDataFrame([(p, "f", k) for k, p in enumerate(pages)], "page string, file string, at long")
+    wanted = L.association_ends(pages).select("from_id", target_id(F.col("to")).alias("to_id"), "seq", "pos")
+    wanted = sorted(map(str, wanted.collect()))
+    assert len(wanted) > 140
+    for read in (L.plain_ends, L.plain_items):
+        found = read(pages).select("from_id", plain_target_id(F.col("to")).alias("to_id"), "seq", "pos")
+        assert sorted(map(str, found.collect())) == wanted
+
+
+def test_ends_of_plain_batches_are_not_read_by_kind(spark):
+    pages = spark.createDataFrame([("{}",)], "page string")
+    for edges in (E.contact_company_edges(pages), E.object_edges(pages, "deal", "ticket")):
+        lines = edges._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        assert not [line for line in lines if "schemaOfVariant" in line and "posexplode(CASE WHEN" not in line]
+
+
 def test_a_primary_label_that_stands_first_is_not_compared_with_itself(spark):
     df = spark.sql("select * from values (array('a','A','b'), 'a'), (array('a'), 'a'), (array('b','A'), 'a'), (array(), null), "
                    "(array('a'), ' '), (cast(null as array<string>), null), (cast(null as array<string>), 'a') as t(labels, p)")
