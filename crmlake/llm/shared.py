@@ -23,6 +23,8 @@ def session(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
     # what is broadcast passes through the driver, and iterated joins do so again and again
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "1MB")
+    # rows are texts and vectors here, not payloads, and Python is started per task: Spark's own size
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = context.getConf().get("spark.checkpoint.dir", None)
