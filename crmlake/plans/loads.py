@@ -21,7 +21,7 @@ from crmlake.operators.merge import INSERTED, KEPT, UPDATED, empty_table, upsert
 from crmlake.operators.quality import edge_diagnostics, with_broken_references, with_broken_rules
 from crmlake.plans import timeline as TL
 from crmlake.sources import landed as L
-from crmlake.sources.tables import Tables
+from crmlake.sources.tables import Tables, shuffles_end_with_queries
 
 log = logging.getLogger(__name__)
 
@@ -575,6 +575,29 @@ class _Run:
         ctx.tables.write(rows, "rejected")
 
 
+def _steps(ctx: Context, run: _Run, rebuild: bool) -> None:
+    """All steps of a full run, as :func:`run_full` says."""
+    tables = ctx.tables
+    if rebuild:
+        tables.recreate()
+    try:
+        side_by_side(ctx.spark, [lambda name=name, load=load: run.step(name, lambda: load(ctx), critical=True)
+                                 for name, load in (("contacts", load_contacts), ("companies", load_companies),
+                                                    ("deals", load_deals), ("tickets", load_tickets))], run.most)
+    except LoadFailed:
+        tables.roll_back()
+        raise
+    tables.begin()  # what is done so far stays, whatever follows
+    loads = [("contact_company_associations", load_contact_company_edges), ("object_associations", load_object_edges),
+             ("property_histories", load_property_history)]
+    loads += [(name, load) for name, load in (("communications", load_communications), ("emails", load_emails),
+                                              ("notes", load_notes)) if name in ctx.landed.objects]
+    side_by_side(ctx.spark, [run.activities, *[lambda name=name, load=load: run.step(name, lambda: load(ctx))
+                                    for name, load in loads]], run.most)
+    run.timeline()
+    run.rejects()
+
+
 def run_full(ctx: Context, rebuild: bool = False, keep: int = 2, most: int = 4) -> DataFrame:
     """One full run over the stored tables. Returns one metrics row per step.
 
@@ -588,24 +611,8 @@ def run_full(ctx: Context, rebuild: bool = False, keep: int = 2, most: int = 4)
     tables, run = ctx.tables, _Run(ctx, most)
     tables.begin()
     try:
-        if rebuild:
-            tables.recreate()
-        try:
-            side_by_side(ctx.spark, [lambda name=name, load=load: run.step(name, lambda: load(ctx), critical=True)
-                                     for name, load in (("contacts", load_contacts), ("companies", load_companies),
-                                                        ("deals", load_deals), ("tickets", load_tickets))], most)
-        except LoadFailed:
-            tables.roll_back()
-            raise
-        tables.begin()  # what is done so far stays, whatever follows
-        loads = [("contact_company_associations", load_contact_company_edges), ("object_associations", load_object_edges),
-                 ("property_histories", load_property_history)]
-        loads += [(name, load) for name, load in (("communications", load_communications), ("emails", load_emails),
-                                                  ("notes", load_notes)) if name in ctx.landed.objects]
-        side_by_side(ctx.spark, [run.activities, *[lambda name=name, load=load: run.step(name, lambda: load(ctx))
-                                        for name, load in loads]], most)
-        run.timeline()
-        run.rejects()
+        with shuffles_end_with_queries(ctx.spark):
+            _steps(ctx, run, rebuild)
         for table in TABLES:
             tables.prune(table, keep)
     finally:

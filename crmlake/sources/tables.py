@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -30,6 +31,23 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
 
 
+@contextmanager
+def shuffles_end_with_queries(spark: SparkSession):
+    """Shuffle files go when the query that wrote them ends.
+
+    Spark keeps them until the driver collects garbage, which a run of many large writes and small plans hardly
+    causes, so those of all its steps would lie on disk together. A frame that is collected twice meanwhile makes
+    its shuffles again; steps write theirs once.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def _spread(df: DataFrame, table: str) -> DataFrame:
     """Rows of a partition value together, so that a task opens files of few values; values with many
     rows are split by adaptive execution."""
