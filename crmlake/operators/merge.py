@@ -191,6 +191,11 @@ def empty_table(spark, table: str) -> DataFrame:
     return spark.createDataFrame([], schema(table))
 
 
+def absent_table(spark, table: str) -> DataFrame:
+    """A table that is not there yet. Its plan shows that it is empty, so joins with it move no rows to find nothing."""
+    return empty_table(spark, table).where(F.lit(False))
+
+
 def to_table(df: DataFrame, table: str) -> DataFrame:
     """Exactly the columns of a table; missing ones null, the surrogate id derived if absent."""
     if "id" in columns(table) and "id" not in df.columns:

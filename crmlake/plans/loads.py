@@ -17,7 +17,7 @@ from crmlake.model.objects import ACTIVITY_SOURCES, DETAIL_TABLES
 from crmlake.model.tables import REFERENCES, TABLES, UNIQUE, key_tells_partition
 from crmlake.operators import edges as E, flatten, resolve
 from crmlake.operators.history import property_history
-from crmlake.operators.merge import INSERTED, KEPT, UPDATED, empty_table, upsert
+from crmlake.operators.merge import INSERTED, KEPT, UPDATED, absent_table, empty_table, upsert
 from crmlake.operators.quality import edge_diagnostics, with_broken_references, with_broken_rules
 from crmlake.plans import timeline as TL
 from crmlake.sources import landed as L
@@ -167,7 +167,7 @@ class Context:
     def read(self, table: str) -> DataFrame:
         if table in self.stored:
             return self.stored[table]
-        return empty_table(self.spark, table) if self.tables is None else self.tables.read(table)
+        return absent_table(self.spark, table) if self.tables is None else self.tables.read(table)
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         return df if self.tables is None else self.tables.stage(df, name)
@@ -232,13 +232,13 @@ class Context:
 
         Where the key tells the partition, only the partitions are read that the rows are in, and
         :func:`_save` replaces only those. ``within`` names them where they are known beforehand;
-        otherwise the rows are staged and asked.
+        otherwise the rows are staged and asked. A table that is not there yet is not merged with.
         """
         order = [c for c in order_by if c in rows.columns]
         if within != []:  # nothing has landed: no pass will be made, and nothing may wait for its counts
             rows = self.obeying(rows, table, order)
         base = self.stored.get(table)
-        if base is None and self.tables is not None and key_tells_partition(table):
+        if base is None and self.tables is not None and self.tables.exists(table) and key_tells_partition(table):
             if within is None:
                 rows = self.stage(rows, f"new-{table}")
                 within = self.tables.partitions_of(rows, table)
@@ -455,17 +455,25 @@ def load_property_history(ctx: Context, pairs=HISTORY_PROPERTIES) -> DataFrame:
     return ctx.merged(table, rows, ("pos",), within=within)
 
 
-def timeline_families(ctx: Context, apart: bool = False) -> dict[str, DataFrame]:
+def timeline_families(ctx: Context, apart: bool = False, once: bool = False) -> dict[str, DataFrame]:
     """The event families; with ``events`` set to ``changed`` of what this run inserted or updated alone.
 
-    Families that share their joins come as one, unless they are to be made ``apart``.
+    Families that share their joins come as one, unless they are to be made ``apart``. ``once``, the events of
+    tickets do not repeat a key of the timeline.
     """
     details = {kind: ctx.read(table) for kind, table in DETAIL_TABLES.items()}
     tables = (ctx.read("activities"), details, ctx.read("activity_associations"), ctx.read("tickets"),
               ctx.read("object_associations"), ctx.read("property_histories"))
     if ctx.events == CHANGED_EVENTS:
         tables = TL.only_changed(*tables, ctx.as_of, lambda keys, name: resolve.sized(ctx.stage(keys, name)))
-    return TL.build_events(*tables, ctx.as_of, apart)
+    return TL.build_events(*tables, ctx.as_of, apart, once)
+
+
+def timeline_events(ctx: Context) -> DataFrame:
+    """The events of all families, one per key of the timeline."""
+    if TL.tickets_stand_apart(ctx.read("activities")):
+        return TL.events_once(timeline_families(ctx, once=True))
+    return TL.each_once(TL.union_events(*timeline_families(ctx).values()))
 
 
 def _timeline(ctx: Context, families) -> DataFrame:
@@ -473,7 +481,9 @@ def _timeline(ctx: Context, families) -> DataFrame:
 
 
 def build_timeline(ctx: Context) -> DataFrame:
-    return _timeline(ctx, timeline_families(ctx))
+    if ctx.rules is not None:  # of events of one key, only those that obey may be chosen from
+        return _timeline(ctx, timeline_families(ctx))
+    return ctx.merged("contact_activity_timelines", timeline_events(ctx), unique=True)
 
 
 METRICS = T.StructType([
@@ -628,4 +638,4 @@ __all__ = ["ALL_EVENTS", "CHANGED_EVENTS", "Context", "FAIL", "HISTORY_PROPERTIE
            "load_activity_edges", "load_communications", "load_companies",
            "load_contact_company_edges", "load_contacts", "load_deals", "load_details",
            "load_emails", "load_notes", "load_object_edges", "load_property_history",
-           "load_tickets", "run_full", "timeline_families"]
+           "load_tickets", "run_full", "timeline_events", "timeline_families"]

@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from crmlake.model.tables import KEYS, PARTITIONS, TABLES, columns, schema
-from crmlake.operators.merge import empty_table, to_table
+from crmlake.operators.merge import absent_table, empty_table, to_table
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -111,7 +111,7 @@ class Tables:
         """
         versions = self._versions(table, committed=True)
         if not versions:
-            return empty_table(self.spark, table)
+            return absent_table(self.spark, table)
         stored = self.spark.read.schema(schema(table)).parquet(f"{self.root}/{table}/v={versions[-1]}")
         stored = stored.drop("batch")
         if within is not None:

@@ -240,7 +240,7 @@ def t14(spark, d):
     from crmlake.plans.timeline import timeline
     ctx = timeline_context(spark, d)
     base = ctx.read("contact_activity_timelines")
-    merged = timeline(LD.timeline_families(ctx), base, X.AS_OF)
+    merged = timeline([LD.timeline_events(ctx)], base, X.AS_OF, unique=True)
     return merged.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"))
 
 

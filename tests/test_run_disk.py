@@ -32,3 +32,40 @@ def test_a_run_leaves_no_shuffle_files(spark, tmp_path):
     assert sorted(left) == []
     assert spark.conf.get(name, None) == before
     assert ctx.tables.read("contacts").count() == 50
+
+
+def _stored(spark, activity_type):
+    """Tickets and changes that repeat a key, and an activity of some type with the id, day and contact of a ticket."""
+    from crmlake.operators.merge import empty_table, to_table
+    made = {
+        "tickets": "select * from values ('t1', 'one', 'a'), ('t1', 'two', 'b'), ('T1', 'three', 'c') as t(source_id, ticket_name, ticket_owner)",
+        "object_associations": "select * from values ('contact', 'c1', 'ticket', 't1'), ('ticket', 'T1', 'contact', 'c1'), ('contact', 'c2', 'ticket', 't1') "
+                               "as t(source_object_type, source_object_id, target_object_type, target_object_id)",
+        "property_histories": "select 'ticket' as object_type, 'hs_pipeline_stage' as property_name, * from values ('t1', 'a', 'b'), ('T1', 'b', 'c'), "
+                              "('t1', 'a', 'b') as t(object_id, old_value, new_value)",
+        "activities": f"select 't1' as source_id, 1L as id, '{activity_type}' as activity_type, 'zzz' as subject",
+        "activity_associations": "select 't1' as activity_source_id, 'contact' as associated_object_type, 'c1' as associated_object_id"}
+    day = {"tickets": "created_at", "property_histories": "change_date", "activities": "activity_date"}
+    tables = {n: to_table(spark.sql(sql).withColumn(day.get(n, "etl_date"), F.lit("2024-01-02").cast("timestamp")), n) for n, sql in made.items()}
+    return tables | {t: empty_table(spark, t) for t in LD.DETAIL_TABLES.values()}
+
+
+def _rows(df):
+    return sorted(map(str, df.collect()))
+
+
+def test_a_timeline_chooses_among_repeated_keys_as_a_merge_of_all_events(spark):
+    from crmlake.plans import timeline as TL
+    for kind, apart in (("Call", True), ("Ticket", False)):
+        ctx = LD.Context(spark, LD.Landed(), "2024-01-15", stored=_stored(spark, kind))
+        assert TL.tickets_stand_apart(ctx.read("activities")) == apart
+        everything = TL.timeline(LD.timeline_families(ctx), ctx.read("contact_activity_timelines"), "2024-01-15")
+        assert _rows(LD.build_timeline(ctx)) == _rows(everything)
+        assert everything.count() == (9 if apart else 8)  # tickets t1 and T1, each created and changed, for two contacts
+
+
+def test_events_of_tickets_are_not_shuffled_for_every_contact(spark):
+    ctx = LD.Context(spark, LD.Landed(), "2024-01-15", stored=_stored(spark, "Call"))
+    plan = LD.build_timeline(ctx)._jdf.queryExecution().optimizedPlan().toString()  # the table is not there yet
+    above = plan[:plan.index("Union")]  # of the plan, what all events go through
+    assert "Aggregate" not in above and "Join" not in above
