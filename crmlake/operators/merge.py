@@ -57,7 +57,10 @@ def merge_coalesce(base: DataFrame, incoming: DataFrame, keys, *, as_of,
     order = [order_by] if isinstance(order_by, str) else list(order_by or ())
     names = base.columns
     extra = [c for c in order if c not in names]
-    if "id" in names and "id" not in incoming.columns:
+    absent = "id" in names and "id" not in incoming.columns
+    # a hash of the key is as large as all that is compressed of a narrow row: it is made after repeated keys are reduced
+    late = absent and all(dict(incoming.dtypes).get(k) == t for k, t in base.select(*keys).dtypes)
+    if absent and not late:
         incoming = incoming.withColumn("id", surrogate_id(keys))
     staged = _aligned(incoming, base.select(*names))
     if extra:
@@ -76,6 +79,8 @@ def merge_coalesce(base: DataFrame, incoming: DataFrame, keys, *, as_of,
         on = [f"_on_{k}" for k in keys] + ["_alone"]
     if not unique:
         staged = keep_last(staged, on, order)
+    if late:
+        staged = staged.withColumn("id", surrogate_id(keys))
     values = [c for c in names if c not in on]
     old = base.select(*on, *[F.col(c).alias(f"_old_{c}") for c in values],
                       F.lit(True).alias("_in_base"))

@@ -21,7 +21,7 @@ from crmlake.operators.merge import INSERTED, KEPT, UPDATED, absent_table, empty
 from crmlake.operators.quality import edge_diagnostics, with_broken_references, with_broken_rules
 from crmlake.plans import timeline as TL
 from crmlake.sources import landed as L
-from crmlake.sources.tables import Tables, shuffles_end_with_queries
+from crmlake.sources.tables import FEW_PARTITIONS, Tables, shuffles_end_with_queries, together
 
 log = logging.getLogger(__name__)
 
@@ -139,6 +139,7 @@ class Context:
     watched: dict[str, list[Observation]] = field(default_factory=dict)
     shared: dict[str, DataFrame] = field(default_factory=dict)
     touched: dict[str, list[tuple]] = field(default_factory=dict)
+    placed: set[str] = field(default_factory=set)
     lock: threading.RLock = field(default_factory=threading.RLock)
 
     def watch(self, df: DataFrame, name: str, bad: Column) -> DataFrame:
@@ -245,6 +246,8 @@ class Context:
             if within is not None:
                 self.touched[table] = within
                 base = self.tables.read(table, within)
+        if within is not None and len(within) <= FEW_PARTITIONS:
+            self.placed.add(table)
         return upsert(table, self.read(table) if base is None else base, rows, self.as_of, order_by=order, **options)
 
     def owned(self, df: DataFrame, column: str) -> DataFrame:
@@ -469,11 +472,12 @@ def timeline_families(ctx: Context, apart: bool = False, once: bool = False) ->
     return TL.build_events(*tables, ctx.as_of, apart, once)
 
 
-def timeline_events(ctx: Context) -> DataFrame:
-    """The events of all families, one per key of the timeline."""
+def timeline_events(ctx: Context, placed: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
+    """The events of all families, one per key of the timeline. ``placed`` is given events of many kinds; those of
+    tickets, by far the most, are of two."""
     if TL.tickets_stand_apart(ctx.read("activities")):
-        return TL.events_once(timeline_families(ctx, once=True))
-    return TL.each_once(TL.union_events(*timeline_families(ctx).values()))
+        return TL.events_once(timeline_families(ctx, once=True), placed)
+    return placed(TL.each_once(TL.union_events(*timeline_families(ctx).values())))
 
 
 def _timeline(ctx: Context, families) -> DataFrame:
@@ -483,7 +487,11 @@ def _timeline(ctx: Context, families) -> DataFrame:
 def build_timeline(ctx: Context) -> DataFrame:
     if ctx.rules is not None:  # of events of one key, only those that obey may be chosen from
         return _timeline(ctx, timeline_families(ctx))
-    return ctx.merged("contact_activity_timelines", timeline_events(ctx), unique=True)
+    table = "contact_activity_timelines"
+    if ctx.tables is None or ctx.tables.exists(table):
+        return ctx.merged(table, timeline_events(ctx), unique=True)
+    ctx.placed.add(table)  # the first timeline is not merged, and its tasks hold the events of one family
+    return ctx.merged(table, timeline_events(ctx, lambda rows: together(rows, table)), unique=True)
 
 
 METRICS = T.StructType([
@@ -501,13 +509,14 @@ def _save(ctx: Context, table: str, merged: DataFrame) -> dict[str, int]:
     seen = Observation()
     counts = {name: F.count_if(F.col("action") == name).alias(name)
               for name in (INSERTED, UPDATED, KEPT)}
-    within = ctx.touched.pop(table, None)
+    within, spread = ctx.touched.pop(table, None), table not in ctx.placed
+    ctx.placed.discard(table)
     if within is None or not ctx.tables.exists(table):
-        ctx.tables.write(merged.observe(seen, *counts.values()), table)
+        ctx.tables.write(merged.observe(seen, *counts.values()), table, spread)
         others = 0
     else:
         if within:
-            ctx.tables.replace(merged.observe(seen, *counts.values()), table)
+            ctx.tables.replace(merged.observe(seen, *counts.values()), table, spread)
         others = ctx.tables.read(table, without=within).count()
     found = _observed(seen) if within != [] else {}
     return {name: int(found.get(name) or 0) + (others if name == KEPT else 0) for name in counts}
@@ -533,6 +542,7 @@ class _Run:
             failed = self.ctx.failed(name)
         except Exception as error:  # noqa: BLE001 - a step may fail for any reason
             self.ctx.touched.pop(name, None)
+            self.ctx.placed.discard(name)
             if name != "activities":  # those were counted when they were staged
                 self.ctx.rejected.pop(name, None)
                 self.ctx.forget(name)

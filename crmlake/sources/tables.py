@@ -48,7 +48,7 @@ def shuffles_end_with_queries(spark: SparkSession):
         spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
-def _spread(df: DataFrame, table: str) -> DataFrame:
+def together(df: DataFrame, table: str) -> DataFrame:
     """Rows of a partition value together, so that a task opens files of few values; values with many
     rows are split by adaptive execution."""
     return df.hint("rebalance", *PARTITIONS[table]) if table in PARTITIONS else df
@@ -63,13 +63,16 @@ def _lies_in(table: str, values: list[tuple]) -> Column:
 
 def _with_filters(writer, table: str):
     """The surrogate id and the first key column can be looked up; filters follow the values of a
-    row group, from 64 KB to 1 MB."""
-    writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
+    row group, from 64 KB to 1 MB. Files are compressed by zstd, which takes less room than Spark's default."""
+    writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true").option("compression", "zstd")
     for column in {"id", KEYS[table][0]} & set(columns(table)) - set(PARTITIONS.get(table, ())):
         writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
     return writer
 
 
+#: Rows that lie in so few partitions are written by the tasks they are in: each opens so many files at most.
+FEW_PARTITIONS = 4
+
 #: The batch that a write or merge of a whole table leaves.
 WHOLE = "whole"
 
@@ -123,27 +126,33 @@ class Tables:
         found = df.select(*PARTITIONS[table]).distinct().limit(MOST_PARTITIONS + 1).collect()
         return None if len(found) > MOST_PARTITIONS else sorted((tuple(r) for r in found), key=str)
 
-    def replace(self, df: DataFrame, table: str) -> None:
+    def replace(self, df: DataFrame, table: str, spread: bool = True) -> None:
         """Write rows in place of the partitions they are in. Spark stages the new files and moves them
         when all are written, so the rows may be made of the partitions they replace."""
         versions = self._versions(table, committed=True)
         if not versions:
-            self.write(df, table)
+            self.write(df, table, spread)
             return
-        (self._writer(df, table, WHOLE).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (self._writer(df, table, WHOLE, spread).mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .parquet(f"{self.root}/{table}/v={versions[-1]}"))
 
-    def write(self, df: DataFrame, table: str) -> DataFrame:
-        """Write a new version in one distributed job and return it as read back."""
+    def write(self, df: DataFrame, table: str, spread: bool = True) -> DataFrame:
+        """Write a new version in one distributed job and return it as read back.
+
+        Rows of a partition are brought together first, unless the caller says not to ``spread`` them: tasks hold
+        rows of few partitions anyway. That saves a shuffle of the whole table.
+        """
         version = max(self._versions(table, committed=False), default=0) + 1
         path = f"{self.root}/{table}/v={version}"
         self._written.append(path)
-        self._writer(df, table, WHOLE).mode("errorifexists").parquet(path)
+        self._writer(df, table, WHOLE, spread).mode("errorifexists").parquet(path)
         return self.read(table)
 
     @staticmethod
-    def _writer(df: DataFrame, table: str, batch: str):
-        rows = _spread(to_table(df, table), table)
+    def _writer(df: DataFrame, table: str, batch: str, spread: bool = True):
+        rows = to_table(df, table)
+        if spread:
+            rows = together(rows, table)
         if table not in PARTITIONS:
             rows = rows.withColumn("batch", F.lit(batch))
         return _with_filters(rows.write.partitionBy(*PARTITIONS.get(table, ("batch",))), table)
@@ -155,7 +164,7 @@ class Tables:
         """
         path = f"{self.root}/_staged/{name}-{uuid.uuid4().hex}"
         self._staged.append(path)
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop_staged(self) -> None:

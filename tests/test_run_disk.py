@@ -69,3 +69,40 @@ def test_events_of_tickets_are_not_shuffled_for_every_contact(spark):
     plan = LD.build_timeline(ctx)._jdf.queryExecution().optimizedPlan().toString()  # the table is not there yet
     above = plan[:plan.index("Union")]  # of the plan, what all events go through
     assert "Aggregate" not in above and "Join" not in above
+
+
+def _edge_pages(spark, *pairs):
+    rows = [(f'{{"results": [{{"from": {{"id": "{a}"}}, "to": [{{"toObjectId": "{b}"}}]}}]}}',) for a, b in pairs]
+    return spark.createDataFrame(rows, "page string")
+
+
+def test_rows_of_few_partitions_are_written_without_one_more_shuffle(spark, tmp_path, monkeypatch):
+    from crmlake.operators.merge import KEPT
+    from crmlake.sources import tables as ST
+    spread = []
+    monkeypatch.setattr(ST, "together", lambda rows, table, real=ST.together: spread.append(table) or real(rows, table))
+    store = Tables(spark, str(tmp_path))
+    pages = {("contact", "ticket"): _edge_pages(spark, ("c1", "t1"), ("c1", "t1"), ("c2", "t1")), ("deal", "ticket"): _edge_pages(spark, ("d1", "t1"))}
+
+    def load(*pairs):
+        ctx = LD.Context(spark, LD.Landed(associations={p: pages[p] for p in pairs}), "2024-01-15", tables=store)
+        return LD._save(ctx, "object_associations", LD.load_object_edges(ctx))
+
+    assert load(*pages)["inserted"] == 3
+    assert load(("deal", "ticket")) == {"inserted": 0, "updated": 1, KEPT: 2}
+    assert spread == []
+    ends = store.read("object_associations").select("source_object_type", "source_object_id", "target_object_id")
+    assert _rows(ends) == _rows(spark.sql("select * from values ('contact', 'c1', 't1'), ('contact', 'c2', 't1'), ('deal', 'd1', 't1') "
+                                          "as t(source_object_type, source_object_id, target_object_id)"))
+    store.write(store.read("object_associations"), "object_associations")
+    assert spread == ["object_associations"]
+
+
+def test_a_surrogate_id_does_not_depend_on_when_it_is_made(spark):
+    from crmlake.operators.merge import absent_table, surrogate_id, upsert
+    rows = spark.sql("select 'c1' as contact_source_id, 'e' as event_type, timestamp '2024-01-02' as event_date, 'x' as related_object_id, d as description "
+                     "from values ('a'), ('b') as t(d)")
+    known = rows.withColumn("id", surrogate_id(["contact_source_id", "event_type", "event_date", "related_object_id"]))
+    table = "contact_activity_timelines"
+    merged = [_rows(upsert(table, absent_table(spark, table), r, "2024-01-15")) for r in (rows, known)]
+    assert merged[0] == merged[1] and len(merged[0]) == 1
